@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinderspan.llm.fingerprints import fingerprint_neighbours
+from cinderspan.llm.license_scan import license_scan
+from cinderspan.llm.lm_scores import lm_scores
 from cinderspan.llm.ngram_join import ngram_jaccard_join
 from cinderspan.llm.packing import best_fit_packing
+from cinderspan.llm.piece_tokens import piece_tokens
 from cinderspan.llm.quality_classifier import held_out, quality_classifier, train
 from cinderspan.llm.quality_rules import quality_rules
 from cinderspan.llm.substring_dedup import substring_dedup
+from cinderspan.llm.warc import read_records, write_archives
 from cinderspan.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,10 +28,32 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("n_passages > 0").select("doc_id", "n_passages", "passage_words", "removed_bytes", "first_doc_ids", "text")
 
 
+def op2_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_tokens(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_archives(table(spark, sf_dir, "pages"))
+    return read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents towards those labelled good, against all documents."""
+    return lm_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
@@ -43,7 +70,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_substring_dedup, op3_ngram_jaccard_join, op8_best_fit_packing, op9_quality_classifier, op10_quality_rules)}
+    found = (
+        op1_substring_dedup,
+        op2_piece_tokens,
+        op3_ngram_jaccard_join,
+        op4_warc,
+        op5_license_scan,
+        op6_lm_scores,
+        op7_fingerprints,
+        op8_best_fit_packing,
+        op9_quality_classifier,
+        op10_quality_rules,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
