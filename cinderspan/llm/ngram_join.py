@@ -192,42 +192,53 @@ def ngram_jaccard_join(
     bound = int(low * (1 << 62))
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first: dict[bytes, int] = {}
-        none = np.empty(0, np.int64)
         for batch in batches:
-            sizes, nodes, lows = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
+            sizes, lows, digests = [], [], []
+            for text in texts(batch.column(1)):
                 found = shingles(text, n)
                 sizes.append(len(found))
-                node = None
-                part = none
-                if len(found) and doc_id is not None:
-                    digest = xxhash.xxh3_128_digest(found.tobytes())
-                    node = first.get(digest)
-                    if node is None:
-                        if len(first) >= 500_000:
-                            first.clear()
-                        node = first[digest] = doc_id
-                        part = found[: np.searchsorted(found, bound)]
-                nodes.append(node)
-                lows.append(part)
+                lows.append(int(np.searchsorted(found, bound)))
+                digests.append(xxhash.xxh3_128_digest(found.tobytes()))
+            keys = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(list(map(len, lows)), pa.int64()), flat_lists(lows, pa.int64())],
-                ["doc_id", "n_shingles", "node", "n_low", "low"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(lows, pa.int64()), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())], ["doc_id", "n_shingles", "n_low", "hi", "lo"]
             )
 
-    profiles = cut(docs.mapInArrow(profile, "doc_id long, n_shingles long, node long, n_low long, low array<long>"), "njoin-profiles")
-    own = profiles.where("node = doc_id AND n_shingles > 0").withColumn("need", F.expr(f"n_shingles - cast(ceil({percent} * n_shingles / 100) AS bigint) + 1"))
-    shared = _shared(own.select("node", F.explode("low").alias("token"))).groupBy("node").agg(F.count("*").alias("n_shared"))
-    suspects = own.join(shared, "node", "left").where("n_low - coalesce(n_shared, 0) < need").select("node", "need", F.col("n_shingles").alias("size")).distinct()
+    def low_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # a set that this task has met adds nothing under its digest
+        for batch in batches:
+            keys, lows = [], []
+            for text in texts(batch.column(0)):
+                found = shingles(text, n)
+                digest = xxhash.xxh3_128_digest(found.tobytes())
+                if digest not in seen:
+                    if len(seen) >= 500_000:
+                        seen.clear()
+                    seen.add(digest)
+                    lows.append(found[: np.searchsorted(found, bound)])
+                    keys.append(int.from_bytes(digest[:8], "big", signed=True))
+            sizes = list(map(len, lows))
+            tokens = np.concatenate(lows) if lows else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(keys, np.int64), sizes)), pa.array(tokens)], ["hi", "token"])
+
+    # Equal sets share a digest and stand under the smallest id that has it.
+    profiles = cut(docs.mapInArrow(profile, "doc_id long, n_shingles long, n_low long, hi long, lo long"), "njoin-profiles")
+    reps = profiles.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("size"), F.max("n_low").alias("n_low"))
+    tokens = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(low_shingles, "hi long, token long")
+    spread = "OVER (PARTITION BY token)"
+    shared = tokens.select("hi", "token", F.expr(f"min(hi) {spread}").alias("a"), F.expr(f"max(hi) {spread}").alias("b")).where("a < b").groupBy("hi", "token").agg(F.lit(1)).groupBy("hi").agg(F.count("*").alias("n_shared"))
+    need = F.expr(f"size - cast(ceil({percent} * size / 100) AS bigint) + 1")
+    suspects = cut(reps.join(shared, "hi", "left").withColumn("need", need).where("n_low - coalesce(n_shared, 0) < need").select("node", "need", "size"), "njoin-suspects")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = flat_lists([shingles(text, n) for text in texts(batch.column("text"))], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("need"), batch.column("size"), found], ["node", "need", "size", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), found], ["node", "keys"])
 
-    candidates = cut(docs.join(suspects, docs.doc_id == suspects.node).select("node", "need", "size", "text").mapInArrow(sets, "node long, need long, size long, keys array<long>"), "njoin-sets")
-    ranked = _shared(candidates.select("node", "need", "size", F.explode("keys").alias("token"))).select(
+    # Suspects grow with the corpus, so neither side of this join is ever broadcast.
+    wanted = docs.join(suspects.select("node").hint("merge"), docs.doc_id == F.col("node"))
+    candidates = cut(wanted.select("node", "text").mapInArrow(sets, "node long, keys array<long>"), "njoin-sets")
+    ranked = _shared(candidates.select("node", F.explode("keys").alias("token"))).join(suspects, "node").select(
         "node", "need", "size", "token",
         F.expr("row_number() OVER (PARTITION BY node ORDER BY texts, token)").alias("place"),
         F.expr("size - count(*) OVER (PARTITION BY node)").alias("alone"),
@@ -255,7 +266,7 @@ def ngram_jaccard_join(
     joined = blocks.repartition("gid").sortWithinPartitions("gid").mapInArrow(join, "src long, dst long")
     links = joined if links is None else links.unionByName(joined)
     fine = connected_components(links)
-    # A node stands for equal sets of its task; ids fold into the smallest id of the component.
-    named = profiles.select("doc_id", "n_shingles", "node").join(fine, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("c"))
-    least = named.where("c IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("least"))
-    return named.join(least, "c", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    # A node stands for its digest; ids fold into the smallest id of the component.
+    named = profiles.join(reps.select("hi", "lo", "node"), ["hi", "lo"], "left").join(fine, "node", "left")
+    named = named.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).alias("c"))
+    return named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
