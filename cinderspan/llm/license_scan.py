@@ -6,7 +6,7 @@ text is kept (patience sorting), and the gaps between anchors are aligned in the
 equal words at their ends. Coverage is the share of the template's words that are aligned.
 
 A text can hold a template several times or among much else, so windows are aligned, not the
-whole: around every place of the template word that is rarest in the text, as far as the template
+whole: around every place of the template words that are rarest in the text, as far as the template
 reaches. A window can only reach the wanted coverage if it holds enough of the template's
 words, so the others are passed over without loss.
 
@@ -110,25 +110,27 @@ def findings(text: str, templates: dict[str, list[str]], coverage: float) -> lis
                 places.setdefault(w, []).append(i)
         # A copy may lack any one word, so windows stand around the rarest words that a copy cannot all lack.
         spare = len(template) - coverage * len(template)
-        centres: list[int] = []
+        centres: list[tuple[int, int]] = []
         for w in sorted((w for w in own if w in present), key=lambda w: (len(places[w]), w)):
-            centres += places[w]
+            centres += [(i, j) for i in places[w] for j, v in enumerate(template) if v == w]
             spare -= own[w]
             if spare < 0:
                 break
-        done = -1
-        for centre in sorted(centres):
+        done, size = 0, len(template)
+        for centre, at in sorted(centres):
             if centre < done:
                 continue
-            low, high = max(0, centre - 2 * len(template), done), min(len(words), centre + 2 * len(template))
-            window = words[low:high]
-            if sum((Counter(window) & own).values()) < coverage * len(template):
-                continue
-            pairs = align(window, template)
-            share = len(pairs) / len(template)
-            if share >= coverage and pairs[-1][0] - pairs[0][0] < 2 * len(template):
-                done = low + pairs[-1][0] + 1
-                out.append((name, share, low + pairs[0][0], done))
+            # First as if the copy were exact, then with room for insertions on either side.
+            for room in (0, size // 4 + 1):
+                low, high = max(done, centre - at - room), min(len(words), centre - at + size + room)
+                window = words[low:high]
+                if sum((Counter(window) & own).values()) < coverage * size:
+                    continue
+                pairs = align(window, template)
+                if len(pairs) >= coverage * size:
+                    done = low + pairs[-1][0] + 1
+                    out.append((name, len(pairs) / size, low + pairs[0][0], done))
+                    break
     return out
 
 

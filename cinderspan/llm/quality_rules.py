@@ -97,8 +97,8 @@ def quality_rules(
     text: str = "text",
     lang: str | None = "lang",
     min_words: int = 50,
-    class_limits: tuple[float, float] = (0.15, 0.30),
-    word_limits: tuple[float, float] = (0.25, 0.45),
+    class_limits: tuple[float, float] = (0.17, 0.30),
+    word_limits: tuple[float, float] = (0.27, 0.45),
     class_guard: int = 200,
     word_guard: int = 50,
 ) -> DataFrame:
@@ -152,8 +152,11 @@ def quality_rules(
         "_cw",
     )
     tongue = None if lang is None else F.col(lang)
+    # A filter on kept must not be pushed below this step, where its expression would be
+    # expanded through every step before; a row number, not deterministic, holds it here.
     judged = counted.select(
         *own,
+        F.monotonically_increasing_id().alias("_row"),
         "n_words",
         "word_chars",
         "n_symbols",
@@ -168,5 +171,6 @@ def quality_rules(
         ~F.col("base_failed")
         & ~((classes > class_limits[0]) & (words > word_limits[0]))
         & (classes <= class_limits[1])
-        & (F.coalesce("word_distance", F.lit(0.0)) <= word_limits[1]),
-    )
+        & (F.coalesce("word_distance", F.lit(0.0)) <= word_limits[1])
+        & (F.col("_row") >= 0),
+    ).drop("_row")

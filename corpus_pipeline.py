@@ -23,8 +23,13 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts as good."""
-    return quality_classifier(docs, train(docs, table(spark, sf_dir, "labels"))).where("predicted = 1").select(*docs.columns)
+    """Documents that the classifier predicts as good.
+
+    It learns from the labelled rows of the whole table: among what the rules keep, the rejected
+    class would hardly occur.
+    """
+    model = train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_classifier(docs, model).where("predicted = 1").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
