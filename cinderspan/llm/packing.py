@@ -5,7 +5,7 @@
    Spark; the histogram has ``capacity`` entries at most, whatever the corpus.
 2. On that histogram the driver solves the configuration program: cover every length's count
    by configurations (multisets of lengths that fit) with the fewest sequences. Prices start in
-   proportion to length and are updated multiplicatively by how far each length lags; the best
+   proportion to length to the power 1.2 and are updated multiplicatively by how far each length lags; the best
    configuration under the prices comes from a knapsack dynamic program over the capacity.
    Each is used as often as the scarcest of its lengths allows.
 3. Uses are rounded down to whole sequences; what is left of each length, a few pieces for each
@@ -140,7 +140,7 @@ def solve(histogram: dict[int, int], capacity: int, rate: float = 0.5) -> Plan:
     whole = need.astype(np.int64)
     left = need.copy()
     fractional: list[tuple[tuple[int, ...], float]] = []
-    size = np.arange(capacity + 1) / capacity
+    size = (np.arange(capacity + 1) / capacity) ** 1.2  # steeper than length: long pieces are the hard ones
     while True:
         live = left >= 1
         if live.sum() == 0 or left[live].sum() < 2:
