@@ -39,9 +39,9 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _mod(x: np.ndarray) -> np.ndarray:
+    """Modulo P of products of two residues and of sums of up to 2^31 residues: one fold, one difference."""
     x = (x & P) + (x >> np.uint64(31))
-    x = (x & P) + (x >> np.uint64(31))
-    return np.where(x >= P, x - P, x)
+    return np.minimum(x, x - P)  # below P the difference wraps around to a large number
 
 
 def powers(base: int, size: int) -> np.ndarray:
@@ -86,7 +86,12 @@ class PrefixHashes:
         return int(self.spans(np.array([start]), length)[0])
 
     def equal(self, start: int, other: PrefixHashes, at: int, length: int) -> bool:
-        return self.span(start, length) == other.span(at, length)
+        """Whether two spans are equal; each hash is raised to the other's position, so none is divided."""
+        for base, a, b in zip(BASES, self.sums, other.sums):
+            own = (int(a[start + length]) - int(a[start])) * pow(base, at, int(P))
+            if (own - (int(b[at + length]) - int(b[at])) * pow(base, start, int(P))) % int(P):
+                return False
+        return True
 
     def common_extension(self, start: int, other: PrefixHashes, at: int) -> int:
         """Length of the longest common span from two positions."""
