@@ -57,74 +57,87 @@ class PieceVocabulary:
                 self.silent.add(i)
             else:
                 self.id[piece], self.rank[piece] = i, -model.get_score(i)
+        self.surfaces = [
+            bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent else piece.replace(MARK, " ").encode() for i, piece in enumerate(self.pieces)
+        ]
+        self.decimal = [str(i) for i in range(size)]
         self.automaton = ahocorasick.Automaton()
-        for piece in self.id:
+        for piece, i in self.id.items():
             if self.merged(piece) == [piece]:  # a piece that merging never makes is never a token
-                self.automaton.add_word(piece, piece)
+                self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.segments: dict[str, tuple[str, int, bytes]] = {}
+        self.older: dict[str, tuple[str, int, bytes]] = {}
 
     def merged(self, text: str) -> list[str]:
         """Plain merging of a short string: the best-ranked neighbours first, leftmost among equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: (self.rank.get(parts[i] + parts[i + 1], float("inf")), i))
-            if parts[best] + parts[best + 1] not in self.rank:
-                break
-            parts[best : best + 2] = [parts[best] + parts[best + 1]]
+        parts, rank, none = list(text), self.rank.get, float("inf")
+        ranks = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        while ranks and (best := min(ranks)) != none:
+            i = ranks.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], none)
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] + parts[i + 1], none)
         return parts
 
-    def stable(self, a: str, b: str) -> bool:
+    def stable(self, a: int, b: int) -> bool:
         """Whether merging the text of two neighbours leaves them as they are."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= HELD:
-                self.pairs.clear()
-            known = self.pairs[a, b] = self.merged(a + b) == [a, b]
+        if len(self.pairs) >= HELD:
+            self.pairs.clear()
+        left, right = self.pieces[a], self.pieces[b]
+        known = self.pairs[a << 20 | b] = self.merged(left + right) == [left, right]
         return known
 
-    def tokens(self, text: str) -> list[str]:
-        """Pieces (or single characters outside the vocabulary) of a segment."""
-        last: list[str | None] = [None] * (len(text) + 1)
-        ends: list[list[str]] = [[] for _ in range(len(text))]
-        for end, piece in self.automaton.iter(text):
-            ends[end].append(piece)
-        for at, char in enumerate(text):
-            for piece in reversed(ends[at]):  # shorter ones come last
-                before = at + 1 - len(piece)
-                if before == 0 or (last[before] is not None and self.stable(last[before], piece)):
-                    last[at + 1] = piece
-                    break
-            else:
-                last[at + 1] = char
+    def ids(self, text: str) -> list[int]:
+        """Ids of a segment: the table of last tokens from left to right, then backwards from the end.
+
+        A place that no token ends at holds a character outside the vocabulary, which merges with
+        nothing: any token may follow it, and it becomes byte pieces.
+        """
+        last = [-1] * (len(text) + 1)
+        known = self.pairs.get
+        for end, (token, length) in self.automaton.iter(text):
+            at = end + 1
+            if last[at] != -1:
+                continue
+            if at != length and (before := last[at - length]) != -1:
+                fits = known(before << 20 | token)
+                if not (self.stable(before, token) if fits is None else fits):
+                    continue
+            last[at] = token
         out, at = [], len(text)
         while at:
-            out.append(last[at])
-            at -= len(last[at])
-        return out[::-1]
-
-    def ids(self, text: str) -> list[int]:
-        out: list[int] = []
-        for token in self.tokens(text):
-            if token in self.id:
-                out.append(self.id[token])
+            if (token := last[at]) == -1:
+                out += (self.bytes[b] for b in reversed(text[at - 1].encode()))
+                at -= 1
             else:
-                out += (self.bytes[b] for b in token.encode())
-        return out
+                out.append(token)
+                at -= len(self.pieces[token])
+        return out[::-1]
 
     def segment(self, text: str) -> tuple[str, int, bytes]:
-        """Decimal ids of a segment joined by spaces, their number, and what they decode to."""
+        """Decimal ids of a segment joined by spaces, their number, and what they decode to.
+
+        Segments met lately are kept in two tables of bounded size, of which the older is given up
+        when the newer is full, so that common ones stay.
+        """
         known = self.segments.get(text)
         if known is None:
-            if len(self.segments) >= HELD:
-                self.segments.clear()
-            ids = self.ids(text)
-            known = self.segments[text] = " ".join(map(str, ids)), len(ids), self.surface(ids)
+            known = self.older.get(text)
+            if known is None:
+                ids = self.ids(text)
+                known = " ".join([self.decimal[i] for i in ids]), len(ids), self.surface(ids)
+            if len(self.segments) >= HELD // 2:
+                self.older, self.segments = self.segments, {}
+            self.segments[text] = known
         return known
 
     def surface(self, ids: list[int]) -> bytes:
-        return b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent else self.pieces[i].replace(MARK, " ").encode() for i in ids)
+        return b"".join([self.surfaces[i] for i in ids])
 
     def split(self, text: str) -> list[str]:
         return SEGMENT.findall(MARK + text.replace(" ", MARK)) if text else []
@@ -164,7 +177,7 @@ def piece_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             counts, hashes, decodes, ids, decoded = [], [], [], [], []
             for text in texts(batch.column(1)):
-                parts = [vocab.segment(s) for s in vocab.split(text)]
+                parts = [vocab.segments.get(s) or vocab.segment(s) for s in vocab.split(text)]
                 joined = " ".join([*(p[0] for p in parts), str(vocab.end)])
                 surface = b"".join(p[2] for p in parts).removeprefix(b" ")
                 counts.append(sum(p[1] for p in parts) + 1)
