@@ -287,8 +287,11 @@ def redacted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from cinderspan.plans import transitions  # noqa: F401  (adds its queries)
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
