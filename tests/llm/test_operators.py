@@ -217,3 +217,25 @@ def test_quality_rules(docs, real):
         assert Counter((r.doc_id, *(r[x] for x in names)) for r in judged.collect()) == Counter((r.doc_id, *brute_rules(r.text)) for r in df.collect())
         assert judged.where("base_failed and kept").count() == 0
     assert quality_rules.quality_rules(docs, lang=None).where("kept").count() <= docs.count()
+
+
+def test_common_extension_at_any_offset():
+    text = "abcabcabd" * 7 + "é漢x" * 5
+    other = "x" + text[5:40] + "abcabd" * 4
+    a, b = (fingerprints.PrefixHashes(fingerprints.code_points(t)) for t in (text, other))
+    for i in range(0, len(text), 3):
+        for j in range(0, len(other), 4):
+            n = 0
+            while i + n < len(text) and j + n < len(other) and text[i + n] == other[j + n]:
+                n += 1
+            assert a.common_extension(i, b, j) == n
+
+
+def test_piece_tokens_of_odd_texts():
+    import sentencepiece
+
+    path = piece_tokens.piece_model()
+    model, vocab = sentencepiece.SentencePieceProcessor(model_file=path), piece_tokens.vocabulary(path)
+    for text in ("", " ", "  a  b ", "\t\n", "日本語 漢字", "é́​", "😀😀 x😀y", "a" * 3000, "aab" * 500, "\x00\x7f"):
+        ids = model.encode(text, add_eos=True)
+        assert vocab.encode(text) == ids and vocab.decode(ids) == model.decode(ids)
