@@ -1,9 +1,15 @@
 """Language-model scores by cross-entropy difference.
 
 A target and a background bigram model are counted over the whole corpus: the background over
-every text, the target over the texts that are marked. They share one vocabulary, words hashed
-into ``WORDS`` ids and word pairs into ``PAIRS`` ids, so every word and pair of every text counts
-and the models have a fixed size. Probabilities interpolate pair and word estimates.
+every text, the target over the texts that are marked. They share one vocabulary. Words and
+word pairs are known by 64-bit hashes, so each has its own count and the models grow with the
+corpus. Probabilities interpolate pair and word estimates; a word that is added ``ADD`` has
+the vocabulary's size, ``WORDS`` at least, in the denominator.
+
+No table of a model is ever held in one place. Texts are gathered into chunks of about
+``CHUNK`` bytes. A chunk sends each of its distinct words and pairs once, with its own counts,
+to the bucket of the key's top bits; the bucket adds up the counts of all chunks and sends the
+sums back, in the order in which the keys came. A frequent word is thus one key per chunk.
 
 A text's score is the mean over its words of the background's loss less the target's, in nats:
 above 0 it is more like the target. Texts without words have the score 0 and no losses. Null
@@ -12,20 +18,25 @@ texts are empty. A null id is scored, but never marked.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinderspan.llm.arrow import texts
+from cinderspan.llm.arrow import groups, texts
+from cinderspan.session import cut
 
-WORDS, PAIRS = 1 << 16, 1 << 20
+WORDS = 1 << 16
 K = np.uint64(0x9E3779B97F4A7C15)
 #: Weight of the pair estimate, and what is added to every word's count.
 MIX, ADD = 0.6, 0.5
+#: Bytes of text in a chunk, and those whose keys share a bucket.
+CHUNK, BUCKET = 8 << 20, 16 << 20
 
 
 def word_and_pair_ids(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -33,72 +44,159 @@ def word_and_pair_ids(text: str) -> tuple[np.ndarray, np.ndarray]:
     words = text.encode().lower().split()
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     before = np.concatenate([np.zeros(min(1, len(h)), np.uint64), h[:-1]])
-    pairs = (before * K + h) * K
-    return (h >> np.uint64(48)).astype(np.int64), (pairs >> np.uint64(44)).astype(np.int64)
+    return h, (before * K + h) * K
 
 
-def counts(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``slot, background, target``: words first, then pairs, then contexts (words that begin a pair)."""
+def chunks(docs: DataFrame, marked: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per chunk: ``chunk, bucket`` (-1), ``payload`` (its rows)."""
     flags = marked.select(F.col("doc_id").cast("bigint").alias("_id"), F.lit(True).alias("_marked")).where("_id IS NOT NULL").distinct()
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(flags, "_id", "left").select("text", F.coalesce("_marked", F.lit(False)).alias("marked"))
+    rows = rows.join(flags, "_id", "left").select(F.col("_id").alias("doc_id"), "text", F.coalesce("_marked", F.lit(False)).alias("marked"))
+
+    def pack(k: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            for part in held:
+                writer.write_batch(part)
+        number = (TaskContext.get().partitionId() << 32) + k
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([-1], pa.int32()), pa.array([sink.getvalue().to_pybytes()])], ["chunk", "bucket", "payload"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, k = [], 0, 0
+        for batch in batches:
+            lengths = [len(t) for t in texts(batch.column(1))]
+            start = 0
+            for i, n in enumerate(lengths):
+                size += n + 16
+                if size >= CHUNK:
+                    yield pack(k, [*held, batch.slice(start, i + 1 - start)])
+                    held, size, k, start = [], 0, k + 1, i + 1
+            if start < len(lengths):
+                held.append(batch.slice(start))
+        if held:
+            yield pack(k, held)
+
+    return rows.mapInArrow(work, "chunk long, bucket int, payload binary")
+
+
+class Keys:
+    """The distinct words and pairs of a chunk, ascending, and where its texts hold them."""
+
+    def __init__(self, payload: bytes):
+        rows = pa.ipc.open_stream(payload).read_all()
+        self.ids = rows.column(0)
+        found = [word_and_pair_ids(t) for t in texts(rows.column(1))]
+        self.lengths = np.array([len(w) for w, _ in found], np.int64)
+        own = np.repeat(np.array(rows.column(2).to_pylist(), bool), self.lengths)
+        words, pairs = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        self.words, self.word_at = np.unique(words, return_inverse=True)
+        self.pairs, self.pair_at = np.unique(pairs, return_inverse=True)
+        self.first = np.zeros(len(words), bool)
+        starts = np.cumsum(self.lengths) - self.lengths
+        self.first[starts[self.lengths > 0]] = True
+        begins = np.ones(len(words), bool)
+        begins[(starts + self.lengths - 1)[self.lengths > 0]] = False
+        count = lambda at, size, keep: np.bincount(at[keep], minlength=size)
+        n, m = len(self.words), len(self.pairs)
+        #: Background and target counts of words and contexts (words that begin a pair), then of pairs.
+        self.word_counts = np.stack([count(self.word_at, n, k) for k in (slice(None), own, begins, begins & own)])
+        self.pair_counts = np.stack([count(self.pair_at, m, k) for k in (slice(None), own)])
+
+    def edges(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where each bucket's words and pairs begin and end."""
+        heads = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+        return tuple(np.append(np.searchsorted(k, heads), len(k)) for k in (self.words, self.pairs))
+
+
+def _packed(words: np.ndarray, pairs: np.ndarray) -> bytes:
+    return zlib.compress(words.astype("<i8").tobytes() + pairs.astype("<i8").tobytes(), 1)
+
+
+def _unpacked(raw: bytes, n: int, m: int) -> tuple[np.ndarray, np.ndarray]:
+    values = np.frombuffer(zlib.decompress(raw), "<i8")
+    return values[: 4 * n].reshape(4, n), values[4 * n :].reshape(2, m)
+
+
+def sent(held: DataFrame, bits: int) -> DataFrame:
+    """What each chunk sends to each bucket: ``chunk, bucket, words, pairs`` (keys), ``counts``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((2, 2 * WORDS + PAIRS), np.int64)
         for batch in batches:
-            for text, own in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
-                words, pairs = word_and_pair_ids(text)
-                for row in range(1 + own):
-                    np.add.at(totals[row], words, 1)
-                    np.add.at(totals[row], WORDS + pairs, 1)
-                    np.add.at(totals[row], WORDS + PAIRS + words[:-1], 1)
-        used = np.flatnonzero(totals[0])
-        for a in range(0, len(used), 100_000):
-            part = used[a : a + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(totals[0][part]), pa.array(totals[1][part])], ["slot", "background", "target"])
-
-    return rows.mapInArrow(work, "slot long, background long, target long").groupBy("slot").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-
-
-def models(counted: DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Word shares, pair counts and context counts of background and target: tables of fixed size."""
-    table = counted.toArrow()
-    slots = table.column("slot").to_numpy()
-    out = []
-    for name in ("background", "target"):
-        full = np.zeros(2 * WORDS + PAIRS)
-        full[slots] = table.column(name).to_numpy()
-        words = full[:WORDS]
-        out.append((((words + ADD) / (words.sum() + ADD * WORDS)).astype(np.float32), full[WORDS : WORDS + PAIRS].astype(np.float32), full[WORDS + PAIRS :].astype(np.float32)))
-    return out
-
-
-def losses(words: np.ndarray, pairs: np.ndarray, model: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-    share, pair, context = model
-    own = share[words].astype(np.float64)
-    seen = np.concatenate([[0.0], context[words[:-1]]])
-    joint = np.minimum(1, pair[pairs] / np.maximum(seen, 1))
+            for number, payload in zip(batch.column(0).to_pylist(), batch.column(2)):
+                keys = Keys(payload.as_buffer())
+                ws, ps = keys.edges(bits)
+                for b in range(1 << bits):
+                    w, p = slice(ws[b], ws[b + 1]), slice(ps[b], ps[b + 1])
+                    if w.start == w.stop and p.start == p.stop:
+                        continue
+                    row = [number, b, keys.words[w].tobytes(), keys.pairs[p].tobytes(), _packed(keys.word_counts[:, w], keys.pair_counts[:, p])]
+                    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], ["chunk", "bucket", "words", "pairs", "counts"])
+
+    return held.mapInArrow(work, "chunk long, bucket int, words binary, pairs binary, counts binary")
+
+
+def answers(parts: DataFrame) -> DataFrame:
+    """The sums for each chunk of each bucket: ``chunk, bucket, payload``; a row without a chunk has the bucket's totals."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, "bucket"):
+            words, pairs = ([np.frombuffer(x.as_buffer(), np.uint64) for x in group.column(c)] for c in ("words", "pairs"))
+            own = [_unpacked(x.as_buffer(), len(w), len(p)) for x, w, p in zip(group.column("counts"), words, pairs)]
+            sums, places = [], []
+            for k, keys in enumerate((words, pairs)):
+                distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+                values = np.concatenate([o[k] for o in own], axis=1)
+                total = np.zeros((len(values), len(distinct)), np.int64)
+                for row, value in zip(total, values):
+                    np.add.at(row, at, value)
+                sums.append(total)
+                places.append(np.split(at, np.cumsum([len(x) for x in keys])[:-1]))
+            bucket = group.column("bucket")[0].as_py()
+            out = [(c, _packed(sums[0][:, w], sums[1][:, p]), 0, 0, 0) for c, w, p in zip(group.column("chunk").to_pylist(), *places)]
+            out.append((None, b"", sums[0].shape[1], int(sums[0][0].sum()), int(sums[0][1].sum())))
+            columns = list(zip(*out))
+            arrays = [pa.array(columns[0], pa.int64()), pa.array([bucket] * len(out), pa.int32()), pa.array(columns[1], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(c, pa.int64()) for c in columns[2:])], ["chunk", "bucket", "payload", "distinct", "background", "target"])
+
+    dealt = parts.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(work, "chunk long, bucket int, payload binary, distinct long, background long, target long")
+
+
+def losses(keys: Keys, word_sums: np.ndarray, pair_sums: np.ndarray, model: int, total: int, size: int) -> np.ndarray:
+    """The loss of every word of a chunk, under the background (``model`` 0) or the target (1)."""
+    own = ((word_sums[model] + ADD) / (total + ADD * size))[keys.word_at]
+    seen = np.concatenate([[0], word_sums[2 + model][keys.word_at[:-1]]])[: len(own)]
+    seen = np.where(keys.first, 0, seen)
+    joint = pair_sums[model][keys.pair_at] / np.maximum(seen, 1)
     return -np.log(np.where(seen > 0, MIX * joint + (1 - MIX) * own, own))
 
 
 def lm_scores(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per text: ``doc_id, n_words, target_loss, background_loss, score`` (losses per word)."""
-    shared = docs.sparkSession.sparkContext.broadcast(models(counts(docs, marked, id_col, text_col)))
+    held = cut(chunks(docs, marked, id_col, text_col), "lm-chunks")
+    number = held.count()
+    bits = max(1, int(number * CHUNK // BUCKET).bit_length())
+    back = cut(answers(sent(held, bits)), "lm-counts")
+    size, *totals = back.where("chunk IS NULL").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("distinct", "background", "target"))).first()
+    size = max(WORDS, size)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        background, target = shared.value
-        for batch in batches:
-            rows = []
-            for text in texts(batch.column(1)):
-                words, pairs = word_and_pair_ids(text)
-                if len(words):
-                    t, b = float(losses(words, pairs, target).mean()), float(losses(words, pairs, background).mean())
-                    rows.append((len(words), t, b, b - t))
-                else:
-                    rows.append((0, None, None, 0.0))
-            columns = list(zip(*rows)) or [()] * 4
-            kinds = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], ["doc_id", "n_words", "target_loss", "background_loss", "score"])
-
-    wanted = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return wanted.mapInArrow(work, "doc_id long, n_words long, target_loss double, background_loss double, score double")
+        for group in groups(batches, "chunk"):
+            payloads = group.column("payload")
+            keys = Keys(payloads[0].as_buffer())
+            ws, ps = keys.edges(bits)
+            got = [_unpacked(x.as_buffer(), ws[b + 1] - ws[b], ps[b + 1] - ps[b]) for b, x in zip(group.column("bucket").to_pylist()[1:], payloads[1:])]
+            word_sums, pair_sums = (np.concatenate([g[k] for g in got], axis=1) if got else np.zeros((4 - 2 * k, 0)) for k in (0, 1))
+            ends = np.cumsum(keys.lengths)
+            means = []
+            for model in (1, 0):
+                sums = np.concatenate([[0.0], np.cumsum(losses(keys, word_sums, pair_sums, model, totals[model], size))])
+                means.append((sums[ends] - sums[ends - keys.lengths]) / np.maximum(keys.lengths, 1))
+            empty = keys.lengths == 0
+            arrays = [pa.array(keys.lengths), *(pa.array(m, pa.float64(), mask=empty) for m in means), pa.array(means[1] - means[0])]
+            yield pa.RecordBatch.from_arrays([keys.ids.combine_chunks(), *arrays], ["doc_id", "n_words", "target_loss", "background_loss", "score"])
+
+    both = held.unionByName(back.where("chunk IS NOT NULL").select("chunk", "bucket", "payload"))
+    dealt = both.repartition("chunk").sortWithinPartitions("chunk", "bucket")
+    return dealt.mapInArrow(work, "doc_id long, n_words long, target_loss double, background_loss double, score double")

@@ -239,3 +239,31 @@ def test_piece_tokens_of_odd_texts():
     for text in ("", " ", "  a  b ", "\t\n", "日本語 漢字", "é́​", "😀😀 x😀y", "a" * 3000, "aab" * 500, "\x00\x7f"):
         ids = model.encode(text, add_eos=True)
         assert vocab.encode(text) == ids and vocab.decode(ids) == model.decode(ids)
+
+
+def test_lm_scores_count_every_word_and_pair(spark, monkeypatch):
+    monkeypatch.setattr(lm_scores, "CHUNK", 20_000)
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.2, 400) % 150_000) + f" own{i} tail{i}") for i in range(300)] + [(7, "w1 w2 w1"), (None, "w1 w2"), (None, None), (301, " ")]
+    rows += [(1000 + i, " ".join(f"u{400 * i + k}" for k in range(400))) for i in range(250)]
+    good = {i for i, _ in rows if i is not None and i % 3 == 0}
+    plain = [(i, (t or "").lower().split()) for i, t in rows]
+    uni, bi, ctx = ([Counter(), Counter()] for _ in range(3))
+    for i, w in plain:
+        for m in range(1 + (i in good)):
+            uni[m].update(w), bi[m].update(zip(w, w[1:])), ctx[m].update(w[:-1])
+    size = max(lm_scores.WORDS, len(uni[0]))
+    assert size > lm_scores.WORDS
+    totals = [sum(u.values()) for u in uni]
+
+    def loss(w, m):
+        share = [(uni[m][b] + lm_scores.ADD) / (totals[m] + lm_scores.ADD * size) for b in w]
+        mixed = [lm_scores.MIX * bi[m][a, b] / ctx[m][a] + (1 - lm_scores.MIX) * s if ctx[m][a] else s for a, b, s in zip(w, w[1:], share[1:])]
+        return -np.mean(np.log([share[0], *mixed]))
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lm_scores.lm_scores(df, spark.createDataFrame([(i,) for i in good], "doc_id long")).collect()
+    assert Counter((r.doc_id, r.n_words) for r in found) == Counter((i, len(w)) for i, w in plain)
+    wanted = sorted((-1 if i is None else i, len(w), *([loss(w, 1), loss(w, 0)] if w else [0, 0])) for i, w in plain if i not in good or i % 30 == 0)
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.target_loss or 0, r.background_loss or 0) for r in found if r.doc_id not in good or r.doc_id % 30 == 0)
+    np.testing.assert_allclose(got, wanted, rtol=1e-9)
