@@ -5,10 +5,12 @@ clear, at least ``least`` and at most ``most`` bytes after the previous cut and
 character. Cuts depend on nearby bytes only, so chunks line up again after an insertion.
 Chunks are grouped by a 128-bit digest. The chunk kept is the first in the smallest id.
 
-A passage is a run of neighbouring chunks that each occur more than once in the corpus, with
-``min_words`` words or more. Within a passage every chunk that is not kept is removed, cut
-back to whole words at both ends. A passage of w words always holds a run of w words less
-what the two chunks at its ends cover, so ``min_words`` lies well below the passages sought.
+A passage is a run of neighbouring chunks that each occur more than once in the corpus. The
+chunks at its ends differ between texts, so the run is extended to both sides, byte by byte and
+up to ``REACH``, as far as the text that keeps the end chunk goes on in the same way (for that
+text: as far as any other does). It counts if it then has ``min_words`` words or more. Within a
+passage every chunk that is not kept is removed with its extension, cut back to whole words at
+both ends. Only a passage that holds no whole equal chunk is not seen.
 
 Null texts count as empty and have no chunks. Rows with a null id neither give nor lose text.
 Rows with one id count as one text: what one of them keeps the others keep too.
@@ -31,6 +33,8 @@ from cinderspan.session import cut
 #: The gear: one 32-bit value for each byte, from a rule.
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([b]), seed=0) for b in range(256)], np.uint32)
 LEAST, MOST, BITS = 16, 160, 5
+#: Bytes compared beyond a run's ends: more than a longest chunk and the gear's window.
+REACH = 224
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -111,15 +115,80 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per text with repeated chunks: ``doc_id, spans`` (array of start, end, first_doc, kept)."""
+    """One row per text with repeated chunks: ``doc_id, spans`` (array of start, end, first_doc, kept, key, who).
+
+    ``key`` stands for the digest, ``who`` for the texts that hold it, each as often as it does.
+    """
     found = chunks(docs, id_col, text_col)
     # Counts and minima are combined before the shuffle, and the join is a plain equi-join
     # whose large partitions adaptive execution splits, so a hot digest needs no one task.
-    often = found.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1").drop("n")
-    marked = found.join(often, ["hi", "lo"]).select("doc_id", F.struct("start", "end", "first_doc", F.expr("doc_id = first_doc AND NOT again").alias("kept")).alias("span"))
+    often = found.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.expr("bit_xor(xxhash64(doc_id, again)) + count(*)").alias("who")).where("n > 1").drop("n")
+    marked = found.join(often, ["hi", "lo"]).select("doc_id", F.struct("start", "end", "first_doc", F.expr("doc_id = first_doc AND NOT again").alias("kept"), F.xxhash64("hi", "lo").alias("key"), "who").alias("span"))
     return marked.groupBy("doc_id").agg(F.sort_array(F.collect_set("span")).alias("spans"))
 
 
+def borders(data: bytes, spans: list[dict]) -> Iterator[tuple[int, int, int, bool, bytes]]:
+    """``at, side, key, kept, beyond`` where other texts hold a span than the one beside it; -1 is the left side, read backwards."""
+    for k, span in enumerate(spans):
+        for side, at, other in ((-1, span["start"], spans[k - 1] if k else None), (1, span["end"], spans[k + 1] if k + 1 < len(spans) else None)):
+            if other and at == other["end" if side < 0 else "start"] and other["who"] == span["who"]:
+                continue
+            beyond = data[at : at + REACH] if side > 0 else data[max(0, at - REACH) : at][::-1]
+            if beyond:
+                yield at, side, span["key"], span["kept"], beyond
+
+
+def common(a: bytes, b: bytes) -> int:
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
+    return next(i for i in range(n) if a[i] != b[i])
+
+
+def extensions(joined: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per text whose runs go on beyond their chunks: ``_own, ext`` (array of at, side, n)."""
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
+        for batch in batches:
+            rows = []
+            for doc_id, text, own in zip(*(batch.column(c).to_pylist() for c in (id_col, text_col, "spans"))):
+                if own:
+                    rows += [(int(doc_id), *b) for b in borders((text or "").encode(), own)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc", "at", "side", "key", "kept", "beyond"])
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, at, first, first_at, side, a, b = (c.to_pylist() for c in batch.columns)
+            n = [common(x, y) for x, y in zip(a, b)]
+            yield pa.RecordBatch.from_arrays([pa.array(doc + first, pa.int64()), pa.array(at + first_at, pa.int32()), pa.array(side * 2, pa.int32()), pa.array(n * 2, pa.int32())], ["doc", "at", "side", "n"])
+
+    found = joined.where("spans IS NOT NULL").mapInArrow(edges, "doc long, at int, side int, key long, kept boolean, beyond binary")
+    # Each key has one keeper, so a frequent key makes no more rows than it has holders, and the join may be split.
+    keepers = found.where("kept").select("key", "side", F.col("doc").alias("first"), F.col("at").alias("first_at"), F.col("beyond").alias("first_beyond"))
+    pairs = found.where("NOT kept").join(keepers, ["key", "side"]).select("doc", "at", "first", "first_at", "side", "beyond", "first_beyond")
+    longest = pairs.mapInArrow(measure, "doc long, at int, side int, n int").where("n > 0").groupBy("doc", "at", "side").agg(F.max("n").alias("n"))
+    return longest.groupBy(F.col("doc").alias("_own")).agg(F.collect_list(F.struct("at", "side", "n")).alias("ext"))
+
+
+def extended(spans: list[dict], ext: list[dict] | None) -> list[dict]:
+    """``spans`` with the ends of their runs moved outwards, without overlap."""
+    more = {(e["at"], e["side"]): e["n"] for e in ext or ()}
+    starts, ends = {s["start"] for s in spans}, {s["end"] for s in spans}
+    out: list[dict] = []
+    for span in spans:
+        a, b = span["start"], span["end"]
+        low = a if a in ends else a - more.get((a, -1), 0)
+        high = b if b in starts else b + more.get((b, 1), 0)
+        out.append(span | {"start": low, "end": high})
+    for k in range(1, len(out)):
+        # What two runs both reach goes to the left one, but no further than the right one's chunks.
+        out[k - 1]["end"] = min(out[k - 1]["end"], spans[k]["start"])
+        out[k]["start"] = max(out[k]["start"], out[k - 1]["end"])
+    return out
+
+
 def passages(data: bytes, spans: list[dict], min_words: int) -> list[list[dict]]:
     """Runs of neighbouring spans with ``min_words`` words or more."""
     runs: list[list[dict]] = []
@@ -163,13 +232,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.drop(*new, "spans")
     spans = cut(repeated_chunks(docs, id_col, text_col), "sdedup-spans").withColumnRenamed("doc_id", "_id")
     joined = docs.join(spans, docs[id_col].cast("bigint") == spans["_id"], "left").drop("_id")
+    joined = joined.join(extensions(joined, id_col, text_col), joined[id_col].cast("bigint") == F.col("_own"), "left").drop("_own")
     schema = docs.schema
     out_fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(text_col).to_pylist()
-            found = batch.column("spans").to_pylist()
+            found = [own and extended(own, ext) for own, ext in zip(batch.column("spans").to_pylist(), batch.column("ext").to_pylist())]
             extra: dict[str, list] = {x: [] for x in new}
             for i, own in enumerate(found):
                 data = (column[i] or "").encode() if own else b""

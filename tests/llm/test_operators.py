@@ -267,3 +267,18 @@ def test_lm_scores_count_every_word_and_pair(spark, monkeypatch):
     wanted = sorted((-1 if i is None else i, len(w), *([loss(w, 1), loss(w, 0)] if w else [0, 0])) for i, w in plain if i not in good or i % 30 == 0)
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.target_loss or 0, r.background_loss or 0) for r in found if r.doc_id not in good or r.doc_id % 30 == 0)
     np.testing.assert_allclose(got, wanted, rtol=1e-9)
+
+
+def test_substring_dedup_finds_passages_of_51_words(spark):
+    rng = np.random.default_rng(11)
+    words = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 1 + rng.poisson(3.7))) for _ in range(n))
+    shared = [words(51) for _ in range(600)]
+    rows = [(2 * k + b, f"{words(70)} {p} {words(70)}") for k, p in enumerate(shared) for b in (0, 1)]
+    out = {r.doc_id: r for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    assert all(out[2 * k].text == texts[2 * k] for k in range(600))
+    found = [k for k in range(600) if out[2 * k].n_passages == 1 and out[2 * k + 1].n_passages == 1]
+    assert len(found) >= 595
+    for k in found:
+        left = out[2 * k + 1].text
+        assert shared[k] not in left and len(texts[2 * k + 1]) - len(left) >= len(shared[k]) - 12
