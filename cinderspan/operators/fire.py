@@ -102,6 +102,19 @@ def current_state(detections: DataFrame, now: Column, youngest_h: int = 3, oldes
     )
 
 
+def snapshot_states(detections: DataFrame, youngest_h: int = 3, oldest_h: int = 24) -> DataFrame:
+    """``current_state`` at every 12-hour snapshot: each detection explodes to the snapshots of its own window."""
+    own = detections.groupBy("product", "x", "y", "latitude", "longitude", "acquired_at").agg(F.max("bright_ti4").alias("bright_ti4"))
+    times = F.expr(f"sequence(date_trunc('day', acquired_at), acquired_at + interval {oldest_h} hours, interval 12 hours)")
+    met = own.select("*", F.explode(times).alias("snapshot")).where(_gate(F.col("acquired_at"), F.col("snapshot"), oldest_h, youngest_h))
+    return met.groupBy("snapshot", "x", "y").agg(
+        F.count("*").alias("n"),
+        F.countDistinct("product").alias("platforms"),
+        F.avg("bright_ti4").alias("mean_bright"),
+        ((F.unix_micros("snapshot") - F.unix_micros(F.max("acquired_at"))) / 3.6e9).alias("age_h"),
+    )
+
+
 def tile_buckets(detections: DataFrame, metres: float = 50_000.0, runs_h: int = 6, lag_h: int = 3, reach_h: int = 24, cap: int = 32) -> DataFrame:
     """Forecast tile plan: per model run the best-scored tiles; capped ones are kept with a reason.
 

@@ -122,6 +122,16 @@ def current_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(fire.current_state(adapters.located(spark, sf_dir), F.lit("2024-01-15 12:00:00").cast("timestamp")), "mean_bright", "age_h")
 
 
+@query(
+    f"""with times as ({D_TIMES}), d as (select product, x, y, latitude, longitude, acquired_at, max(bright_ti4) as bright_ti4 from {adapters.located_oracle()} l group by all)
+    select snapshot, x, y, count(*) as n, count(distinct product) as platforms, round(avg(bright_ti4), 6) as mean_bright, round((epoch_us(snapshot) - epoch_us(max(acquired_at))) / 3.6e9, 6) as age_h
+    from d join times on acquired_at between snapshot - interval 24 hours and snapshot - interval 3 hours group by 1, 2, 3"""
+)
+def current_cells_half_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of every cell at every 12-hour snapshot. Of repeated detections the brightest counts."""
+    return rounded(fire.snapshot_states(adapters.located(spark, sf_dir)), "mean_bright", "age_h")
+
+
 _TX, _TY = grid.mercator_tile("latitude", "longitude", 50_000.0)
 
 
@@ -175,12 +185,22 @@ _D_RUNS = _RUNS.format(t="value", r="run_day + to_hours(run_hour)", a="run_day +
 )
 def forecasts_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The forecasts known at one cutoff a week, per grid point and variable."""
+    return _forecasts_at(spark, sf_dir, "interval 7 days")
+
+
+@query(_SQL["forecasts_known"].replace("interval 7 days", "interval 12 hours"))
+def forecasts_known_half_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecasts known at every 12-hour cutoff, per grid point and variable."""
+    return _forecasts_at(spark, sf_dir, "interval 12 hours")
+
+
+def _forecasts_at(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:
     f = adapters.derived(spark, sf_dir, "forecasts").selectExpr(
         "source_grid_id", "variable", "value", "seq", "run_day + make_interval(0, 0, 0, 0, run_hour) as run_at",
         "run_day + make_interval(0, 0, 0, 0, 0, avail_minute) as availability_at", "run_day + make_interval(0, 0, 0, 0, valid_hour) as valid_at",
     )
     ends = f.agg(F.date_trunc("day", F.min("run_at")).alias("a"), F.max("valid_at").alias("b"))
-    anchors = ends.where("a is not null").select(F.explode(F.expr("sequence(a, b, interval 7 days)")).alias("anchor_at"))
+    anchors = ends.where("a is not null").select(F.explode(F.expr(f"sequence(a, b, {step})")).alias("anchor_at"))
     return ledger.forecasts_as_of(f, anchors, ["source_grid_id", "variable"]).select("anchor_at", "source_grid_id", "variable", "value", "seq", "availability_at")
 
 
