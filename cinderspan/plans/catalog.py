@@ -113,6 +113,23 @@ def fire_state_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, "center_max", "center_mean", "local_max", "local_mean", "local_hours_since")
 
 
+def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every selected candidate, supported positives and proxies alike."""
+    return fire.select_candidates(fire.expand_candidates(adapters.located(spark, sf_dir)), _positives(spark, sf_dir))
+
+
+def over_selected(name: str) -> str:
+    """The SQL of a query over positives, for all selected candidates."""
+    return _SQL[name].replace(D_CELLS, D_SELECTED).replace("from pos p", "from selected p").replace("anchor_at from pos)", "anchor_at from selected)")
+
+
+@query(over_selected("fire_state_features"))
+def fire_state_features_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centre and 3 x 3 evidence of the cell and cutoff of every selected candidate."""
+    out = fire.fire_state(_selected(spark, sf_dir), adapters.located(spark, sf_dir))
+    return rounded(out, "center_max", "center_mean", "local_max", "local_mean", "local_hours_since")
+
+
 @query(
     f"""with d as (select distinct on (product, latitude, longitude, acquired_at) * from {adapters.located_oracle()} l where acquired_at between timestamp '2024-01-14 12:00:00' and timestamp '2024-01-15 09:00:00')
     select x, y, count(*) as n, count(distinct product) as platforms, round(avg(bright_ti4), 6) as mean_bright, round((epoch_us(timestamp '2024-01-15 12:00:00') - epoch_us(max(acquired_at))) / 3.6e9, 6) as age_h from d group by 1, 2"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cinderspan.functions import grid
 from cinderspan.operators import frontier, incidents, ledger, release
-from cinderspan.plans.catalog import D_BINS, D_CELLS, D_GATE, _positives, query, rounded
+from cinderspan.plans.catalog import D_BINS, D_CELLS, D_GATE, _positives, _selected, over_selected, query, rounded
 from cinderspan.session import table
 from cinderspan.sources import adapters
 
@@ -83,6 +83,13 @@ def seed_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("seeds", F.array_join("seeds", " "))
 
 
+@query(over_selected("seed_lineage"))
+def seed_lineage_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detections behind every selected candidate, positives and proxies alike."""
+    found = frontier.seed_lineage(_selected(spark, sf_dir), adapters.located(spark, sf_dir))
+    return found.withColumn("seeds", F.array_join("seeds", " "))
+
+
 _IDS = "case event_id % 4 when 0 then cast(user_id as {S}) when 1 then concat(cast(user_id as {S}), '.0') when 2 then concat(cast(user_id as {S}), '.5') else concat('-', cast(user_id + 1 as {S})) end as fire_id, case user_id % 3 when 0 then 'Canada' when 1 then 'CONUS' else 'Alaska' end as region"
 _N = "try_cast(trim(fire_id) as decimal(38, 6))"
 
