@@ -8,7 +8,8 @@ equal words at their ends. Coverage is the share of the template's words that ar
 A text can hold a template several times or among much else, so windows are aligned, not the
 whole: around every place of the template words that are rarest in the text, as far as the template
 reaches. A window can only reach the wanted coverage if it holds enough of the template's
-words, so the others are passed over without loss.
+words, so the others are passed over. What the windows leave is then aligned once more, from
+each place of those words as far as the word's next places, for copies with long insertions.
 
 Null and empty texts have no findings; null ids and repeated rows are scanned like any other.
 """
@@ -111,12 +112,14 @@ def findings(text: str, templates: dict[str, list[str]], coverage: float) -> lis
         # A copy may lack any one word, so windows stand around the rarest words that a copy cannot all lack.
         spare = len(template) - coverage * len(template)
         centres: list[tuple[int, int]] = []
+        rarest: list[str] = []
         for w in sorted((w for w in own if w in present), key=lambda w: (len(places[w]), w)):
             centres += [(i, j) for i in places[w] for j, v in enumerate(template) if v == w]
+            rarest.append(w)
             spare -= own[w]
             if spare < 0:
                 break
-        done, size = 0, len(template)
+        done, size, taken = 0, len(template), []
         for centre, at in sorted(centres):
             if centre < done:
                 continue
@@ -129,8 +132,22 @@ def findings(text: str, templates: dict[str, list[str]], coverage: float) -> lis
                 pairs = align(window, template)
                 if len(pairs) >= coverage * size:
                     done = low + pairs[-1][0] + 1
-                    out.append((name, len(pairs) / size, low + pairs[0][0], done))
+                    taken.append((name, len(pairs) / size, low + pairs[0][0], done))
                     break
+        for w in rarest:
+            at, n = places[w], own[w]
+            for k, i in enumerate(at):
+                if any(a <= i < b for *_, a, b in taken):
+                    continue
+                low = max([at[k - n] + 1 if k >= n else 0, *(b for *_, b in taken if b <= i)])
+                high = min([at[k + n] if k + n < len(at) else len(words), *(a for *_, a, _ in taken if a > i)])
+                window = words[low:high]
+                if sum((Counter(window) & own).values()) < coverage * size:
+                    continue
+                pairs = align(window, template)
+                if len(pairs) >= coverage * size:
+                    taken.append((name, len(pairs) / size, low + pairs[0][0], low + pairs[-1][0] + 1))
+        out += sorted(taken, key=lambda f: f[2])
     return out
 
 

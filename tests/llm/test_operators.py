@@ -282,3 +282,15 @@ def test_substring_dedup_finds_passages_of_51_words(spark):
     for k in found:
         left = out[2 * k + 1].text
         assert shared[k] not in left and len(texts[2 * k + 1]) - len(left) >= len(shared[k]) - 12
+
+
+def test_license_scan_with_long_insertions():
+    prepared = {k: license_scan.words_of(v) for k, v in license_scan.TEMPLATES.items()}
+    scan = lambda t: [f for f in license_scan.findings(t, prepared, 0.8) if f[0] == "apache-2.0-notice"]
+    broken = "Licensed under the terms and conditions of the Apache License, Version 2.0"
+    assert len(scan(broken)) == 1
+    filler = " ".join(f"filler{i}" for i in range(300))
+    for n in (0, 5, 40, 300):
+        gap = " ".join(filler.split()[:n])
+        assert len(scan(f"{filler} Licensed under the {gap} Apache License, Version 2.0. {filler}")) == 1
+    assert len(scan(f"{broken} {filler} {license_scan.TEMPLATES['apache-2.0-notice']}")) == 2
