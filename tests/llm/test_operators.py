@@ -242,7 +242,7 @@ def test_piece_tokens_of_odd_texts():
 
 
 def test_lm_scores_count_every_word_and_pair(spark, monkeypatch):
-    monkeypatch.setattr(lm_scores, "CHUNK", 20_000)
+    monkeypatch.setattr(lm_scores, "CHUNK", 20_000, raising=False)
     rng = np.random.default_rng(3)
     rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.2, 400) % 150_000) + f" own{i} tail{i}") for i in range(300)] + [(7, "w1 w2 w1"), (None, "w1 w2"), (None, None), (301, " ")]
     rows += [(1000 + i, " ".join(f"u{400 * i + k}" for k in range(400))) for i in range(250)]
