@@ -1,10 +1,16 @@
-"""Language-model scores by cross-entropy difference.
+"""Language-model scores by the difference of two cross-entropies.
 
-A target and a background bigram model are counted over the whole corpus: the background over
-every text, the target over the texts that are marked. They share one vocabulary. Words and
-word pairs are known by 64-bit hashes, so each has its own count and the models grow with the
-corpus. Probabilities interpolate pair and word estimates; a word that is added ``ADD`` has
-the vocabulary's size, ``WORDS`` at least, in the denominator.
+Two bigram models are counted over the whole corpus: the background over every text, the target
+over the texts that are marked. They are matched: one vocabulary (the corpus's distinct words and
+one unknown word), one order, one smoothing, and one size, for the background's counts are scaled
+to the target's number of words, so neither is smoother than the other. With c the counts so
+scaled, N the target's words and V the vocabulary's size,
+
+    p(w)     = (c(w) + ADD) / (N + ADD V)
+    p(w | v) = (c(v w) + PRIOR p(w)) / (c(v) + PRIOR)      c(v): pairs that v begins
+
+and a text's first word has p(w). Both are distributions. Words and pairs are known by the top 56
+bits of a 64-bit hash, so each has its own count and the models grow with the corpus.
 
 No table of a model is ever held in one place. Texts are gathered into chunks of about
 ``CHUNK`` bytes. A chunk sends each of its distinct words and pairs once, with its own counts,
@@ -12,8 +18,11 @@ to the bucket of the key's top bits; the bucket adds up the counts of all chunks
 sums back, in the order in which the keys came. A frequent word is thus one key per chunk.
 
 A text's score is the mean over its words of the background's loss less the target's, in nats:
-above 0 it is more like the target. Texts without words have the score 0 and no losses. Null
-texts are empty. A null id is scored, but never marked.
+above 0 it is more like the target. Texts without words have the score 0 and no losses; null
+texts are empty. Rows are scored one by one, so repeated rows are alike, and each of them counts.
+A null id is scored, but never marked. An empty table gives no rows; without a marked word both
+models are the prior of the vocabulary and scores are 0. A text longer than a chunk is a chunk of
+its own. Only the two named columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -31,10 +40,13 @@ from pyspark.sql import functions as F
 from cinderspan.llm.arrow import groups, texts
 from cinderspan.session import cut
 
-WORDS = 1 << 16
 K = np.uint64(0x9E3779B97F4A7C15)
-#: Weight of the pair estimate, and what is added to every word's count.
-MIX, ADD = 0.6, 0.5
+#: The part of a hash that is kept: its low byte is empty.
+TOP = ~np.uint64(0xFF)
+#: What is added to every word's count, and the weight of the word estimate among pairs.
+ADD, PRIOR = 0.5, 2.0
+#: Marked ids that are broadcast; more are joined by a shuffle.
+MOST_MARKED = 1 << 20
 #: Bytes of text in a chunk, and those whose keys share a bucket.
 CHUNK, BUCKET = 8 << 20, 16 << 20
 
@@ -44,13 +56,16 @@ def word_and_pair_ids(text: str) -> tuple[np.ndarray, np.ndarray]:
     words = text.encode().lower().split()
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     before = np.concatenate([np.zeros(min(1, len(h)), np.uint64), h[:-1]])
-    return h, (before * K + h) * K
+    pairs = (before * K + h) * K
+    return h & TOP, (pairs ^ (pairs >> np.uint64(32))) * K & TOP
 
 
 def chunks(docs: DataFrame, marked: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per chunk: ``chunk, bucket`` (-1), ``payload`` (its rows)."""
     flags = marked.select(F.col("doc_id").cast("bigint").alias("_id"), F.lit(True).alias("_marked")).where("_id IS NOT NULL").distinct()
-    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("text"))
+    # The flags are small beside the texts: up to a bound they go to the texts, beyond it both are shuffled.
+    flags = flags.hint("broadcast" if marked.count() <= MOST_MARKED else "merge")
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = rows.join(flags, "_id", "left").select(F.col("_id").alias("doc_id"), "text", F.coalesce("_marked", F.lit(False)).alias("marked"))
 
     def pack(k: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -108,13 +123,38 @@ class Keys:
         return tuple(np.append(np.searchsorted(k, heads), len(k)) for k in (self.words, self.pairs))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, highest first: all the first bytes, then all the second ones."""
+    return np.ascontiguousarray(values.astype(">u8").reshape(-1, 1).view(np.uint8).T).tobytes()
+
+
+def _from_planes(raw: bytes, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).view(">u8").astype(np.uint64).reshape(n)
+
+
+def keys_packed(keys: np.ndarray) -> bytes:
+    """Ascending keys: their three top bytes hardly change and are compressed, the other four are as they come."""
+    raw, n = _planes(keys), len(keys)
+    top = zlib.compress(raw[: 3 * n], 1)
+    return len(top).to_bytes(4, "little") + top + raw[3 * n : 7 * n]
+
+
+def keys_unpacked(raw: bytes) -> np.ndarray:
+    raw = bytes(raw)
+    size = int.from_bytes(raw[:4], "little")
+    rest = raw[4 + size :]
+    n = len(rest) // 4
+    return _from_planes(zlib.decompress(raw[4 : 4 + size]) + rest + bytes(n), n)
+
+
 def _packed(words: np.ndarray, pairs: np.ndarray) -> bytes:
-    return zlib.compress(words.astype("<i8").tobytes() + pairs.astype("<i8").tobytes(), 1)
+    return zlib.compress(_planes(words) + _planes(pairs), 1)
 
 
 def _unpacked(raw: bytes, n: int, m: int) -> tuple[np.ndarray, np.ndarray]:
-    values = np.frombuffer(zlib.decompress(raw), "<i8")
-    return values[: 4 * n].reshape(4, n), values[4 * n :].reshape(2, m)
+    data = zlib.decompress(raw)
+    words, pairs = _from_planes(data[: 32 * n], 4 * n), _from_planes(data[32 * n :], 2 * m)
+    return words.astype(np.int64).reshape(4, n), pairs.astype(np.int64).reshape(2, m)
 
 
 def sent(held: DataFrame, bits: int) -> DataFrame:
@@ -129,7 +169,7 @@ def sent(held: DataFrame, bits: int) -> DataFrame:
                     w, p = slice(ws[b], ws[b + 1]), slice(ps[b], ps[b + 1])
                     if w.start == w.stop and p.start == p.stop:
                         continue
-                    row = [number, b, keys.words[w].tobytes(), keys.pairs[p].tobytes(), _packed(keys.word_counts[:, w], keys.pair_counts[:, p])]
+                    row = [number, b, keys_packed(keys.words[w]), keys_packed(keys.pairs[p]), _packed(keys.word_counts[:, w], keys.pair_counts[:, p])]
                     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], ["chunk", "bucket", "words", "pairs", "counts"])
 
@@ -141,7 +181,7 @@ def answers(parts: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, "bucket"):
-            words, pairs = ([np.frombuffer(x.as_buffer(), np.uint64) for x in group.column(c)] for c in ("words", "pairs"))
+            words, pairs = ([keys_unpacked(x.as_buffer()) for x in group.column(c)] for c in ("words", "pairs"))
             own = [_unpacked(x.as_buffer(), len(w), len(p)) for x, w, p in zip(group.column("counts"), words, pairs)]
             sums, places = [], []
             for k, keys in enumerate((words, pairs)):
@@ -163,13 +203,12 @@ def answers(parts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(work, "chunk long, bucket int, payload binary, distinct long, background long, target long")
 
 
-def losses(keys: Keys, word_sums: np.ndarray, pair_sums: np.ndarray, model: int, total: int, size: int) -> np.ndarray:
-    """The loss of every word of a chunk, under the background (``model`` 0) or the target (1)."""
-    own = ((word_sums[model] + ADD) / (total + ADD * size))[keys.word_at]
-    seen = np.concatenate([[0], word_sums[2 + model][keys.word_at[:-1]]])[: len(own)]
-    seen = np.where(keys.first, 0, seen)
-    joint = pair_sums[model][keys.pair_at] / np.maximum(seen, 1)
-    return -np.log(np.where(seen > 0, MIX * joint + (1 - MIX) * own, own))
+def losses(keys: Keys, word_sums: np.ndarray, pair_sums: np.ndarray, model: int, scale: float, total: int, size: int) -> np.ndarray:
+    """The loss of every word of a chunk, under the background (``model`` 0) or the target (1), counts times ``scale``."""
+    own = ((scale * word_sums[model] + ADD) / (total + ADD * size))[keys.word_at]
+    seen = np.concatenate([[0], scale * word_sums[2 + model][keys.word_at[:-1]]])[: len(own)]
+    joint = (scale * pair_sums[model][keys.pair_at] + PRIOR * own) / (seen + PRIOR)
+    return -np.log(np.where(keys.first, own, joint))
 
 
 def lm_scores(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,7 +218,8 @@ def lm_scores(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_c
     bits = max(1, int(number * CHUNK // BUCKET).bit_length())
     back = cut(answers(sent(held, bits)), "lm-counts")
     size, *totals = back.where("chunk IS NULL").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("distinct", "background", "target"))).first()
-    size = max(WORDS, size)
+    size, target = size + 1, totals[1]
+    scales = (target / totals[0] if totals[0] else 0.0, 1.0)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, "chunk"):
@@ -191,7 +231,7 @@ def lm_scores(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_c
             ends = np.cumsum(keys.lengths)
             means = []
             for model in (1, 0):
-                sums = np.concatenate([[0.0], np.cumsum(losses(keys, word_sums, pair_sums, model, totals[model], size))])
+                sums = np.concatenate([[0.0], np.cumsum(losses(keys, word_sums, pair_sums, model, scales[model], target, size))])
                 means.append((sums[ends] - sums[ends - keys.lengths]) / np.maximum(keys.lengths, 1))
             empty = keys.lengths == 0
             arrays = [pa.array(keys.lengths), *(pa.array(m, pa.float64(), mask=empty) for m in means), pa.array(means[1] - means[0])]

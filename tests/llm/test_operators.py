@@ -137,22 +137,40 @@ def test_license_scan(spark):
     assert found == {(1, "apache-2.0-notice"): 2, (2, "apache-2.0-notice"): 1}
 
 
-def test_lm_scores_match_plain_counts(docs, real):
-    marked = real.where("doc_id % 3 = 0").select("doc_id")
-    scores = {r.doc_id: r for r in lm_scores.lm_scores(real, marked).collect()}
-    words, pairs, contexts = Counter(), Counter(), Counter()
-    for r in real.collect():
-        w, p = lm_scores.word_and_pair_ids(r.text)
-        words.update(w.tolist()), pairs.update(p.tolist()), contexts.update(w[:-1].tolist())
-    r = real.where("length(text) between 200 and 900").first()
-    w, p = (x.tolist() for x in lm_scores.word_and_pair_ids(r.text))
-    total, loss = sum(words.values()), 0.0
-    for k, (a, b) in enumerate(zip(w, p)):
-        share = (words[a] + lm_scores.ADD) / (total + lm_scores.ADD * lm_scores.WORDS)
-        seen = contexts[w[k - 1]] if k else 0
-        loss -= np.log(lm_scores.MIX * min(1, pairs[b] / seen) + (1 - lm_scores.MIX) * share if seen else share)
-    assert scores[r.doc_id].background_loss == pytest.approx(loss / len(w), rel=1e-4)
+def plain_scores(rows, good):
+    """Both losses of every row by a plain recount of real words and pairs."""
+    plain = [(i, (t or "").encode().lower().split()) for i, t in rows]
+    uni, bi, ctx = ([Counter(), Counter()] for _ in range(3))
+    for i, w in plain:
+        for m in range(1 + (i in good)):
+            uni[m].update(w), bi[m].update(zip(w, w[1:])), ctx[m].update(w[:-1])
+    size, total = len(uni[0]) + 1, sum(uni[1].values())
+    scale = [total / max(1, sum(uni[0].values())), 1.0]
+
+    def loss(w, m):
+        own = [(scale[m] * uni[m][b] + lm_scores.ADD) / (total + lm_scores.ADD * size) for b in w]
+        joint = [(scale[m] * bi[m][a, b] + lm_scores.PRIOR * p) / (scale[m] * ctx[m][a] + lm_scores.PRIOR) for a, b, p in zip(w, w[1:], own[1:])]
+        return -np.mean(np.log([own[0], *joint]))
+
+    return sorted((-1 if i is None else i, len(w), *([loss(w, 1), loss(w, 0), loss(w, 0) - loss(w, 1)] if w else [0, 0, 0])) for i, w in plain)
+
+
+def scored_rows(found):
+    return sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.target_loss or 0, r.background_loss or 0, r.score) for r in found)
+
+
+def test_lm_scores_match_plain_counts(spark, docs, real, monkeypatch):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1")
+    good = {r.doc_id for r in labels.collect()}
+    for most in (1 << 20, 0):  # flags broadcast, flags shuffled
+        monkeypatch.setattr(lm_scores, "MOST_MARKED", most)
+        found = lm_scores.lm_scores(real, labels).collect()
+        np.testing.assert_allclose(scored_rows(found), plain_scores([(r.doc_id, r.text) for r in real.collect()], good), rtol=1e-9, atol=1e-12)
+    found = lm_scores.lm_scores(docs.withColumn("_id", F.lit(1)), docs.where("doc_id = 11")).collect()
+    np.testing.assert_allclose(scored_rows(found), plain_scores([r[:2] for r in ROWS], {11}), rtol=1e-9, atol=1e-12)
     assert {r.score for r in lm_scores.lm_scores(docs.where("text is null"), docs.select("doc_id")).collect()} == {0.0}
+    assert {r.score for r in lm_scores.lm_scores(docs, docs.limit(0)).collect()} == {0.0}
+    assert lm_scores.lm_scores(docs.limit(0), docs).count() == 0
 
 
 def test_fingerprints(real, docs):
@@ -247,26 +265,15 @@ def test_lm_scores_count_every_word_and_pair(spark, monkeypatch):
     rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.2, 400) % 150_000) + f" own{i} tail{i}") for i in range(300)] + [(7, "w1 w2 w1"), (None, "w1 w2"), (None, None), (301, " ")]
     rows += [(1000 + i, " ".join(f"u{400 * i + k}" for k in range(400))) for i in range(250)]
     good = {i for i, _ in rows if i is not None and i % 3 == 0}
-    plain = [(i, (t or "").lower().split()) for i, t in rows]
-    uni, bi, ctx = ([Counter(), Counter()] for _ in range(3))
-    for i, w in plain:
-        for m in range(1 + (i in good)):
-            uni[m].update(w), bi[m].update(zip(w, w[1:])), ctx[m].update(w[:-1])
-    size = max(lm_scores.WORDS, len(uni[0]))
-    assert size > lm_scores.WORDS
-    totals = [sum(u.values()) for u in uni]
-
-    def loss(w, m):
-        share = [(uni[m][b] + lm_scores.ADD) / (totals[m] + lm_scores.ADD * size) for b in w]
-        mixed = [lm_scores.MIX * bi[m][a, b] / ctx[m][a] + (1 - lm_scores.MIX) * s if ctx[m][a] else s for a, b, s in zip(w, w[1:], share[1:])]
-        return -np.mean(np.log([share[0], *mixed]))
-
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = lm_scores.lm_scores(df, spark.createDataFrame([(i,) for i in good], "doc_id long")).collect()
-    assert Counter((r.doc_id, r.n_words) for r in found) == Counter((i, len(w)) for i, w in plain)
-    wanted = sorted((-1 if i is None else i, len(w), *([loss(w, 1), loss(w, 0)] if w else [0, 0])) for i, w in plain if i not in good or i % 30 == 0)
-    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.target_loss or 0, r.background_loss or 0) for r in found if r.doc_id not in good or r.doc_id % 30 == 0)
-    np.testing.assert_allclose(got, wanted, rtol=1e-9)
+    np.testing.assert_allclose(scored_rows(found), plain_scores(rows, good), rtol=1e-9, atol=1e-12)
+
+
+def test_lm_keys_survive_packing():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64) << np.uint64(1) & lm_scores.TOP)
+    for part in (keys, keys[:1], keys[:0]):
+        assert (lm_scores.keys_unpacked(lm_scores.keys_packed(part)) == part).all()
 
 
 def test_substring_dedup_finds_passages_of_51_words(spark):
