@@ -12,8 +12,16 @@ text: as far as any other does). It counts if it then has ``min_words`` words or
 passage every chunk that is not kept is removed with its extension, cut back to whole words at
 both ends. Only a passage that holds no whole equal chunk is not seen.
 
-Null texts count as empty and have no chunks. Rows with a null id neither give nor lose text.
-Rows with one id count as one text: what one of them keeps the others keep too.
+A row is known by its id and, where the table repeats an id, by a digest of its text beside it
+(``row_tag``), so different texts under one id are different texts. Ties between them go to the
+smaller digest.
+
+Null and empty texts have no chunks and stay as they are. Rows with a null id neither give nor
+lose text. Rows that repeat both id and text are one text: they stay alike, and what the first
+occurrence keeps all of them keep. A text of any length is cut in one pass over its bytes; its
+spans, at most one for every ``least`` bytes, are gathered by row, never by id or digest. An empty
+table gives no rows. Columns of the names of the new ones are replaced; any others pass through,
+whatever they are called.
 """
 
 from __future__ import annotations
@@ -24,8 +32,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinderspan.llm.arrow import texts
 from cinderspan.session import cut
@@ -77,13 +86,20 @@ def _signed(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, ">i8").astype(np.int64).reshape(-1, 2)
 
 
-def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per chunk: ``doc_id, start, end`` (bytes), ``hi, lo`` (digest), ``again`` (seen before in its text)."""
+def row_tag(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """What tells rows of one id apart: 0 where the table repeats no id, else a digest of the text."""
+    ids = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id")).where("doc_id IS NOT NULL")
+    repeated = not ids.groupBy("doc_id").count().where("count > 1").isEmpty()
+    return F.xxhash64(F.col(f"`{text_col}`").cast("string")) if repeated else F.lit(0).cast("bigint")
+
+
+def chunks(docs: DataFrame, tag: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per chunk: ``doc_id, tag, start, end`` (bytes), ``hi, lo`` (digest), ``again`` (seen before in its text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, counts, starts, ends, digests, again = [], [], [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
+            counts, starts, ends, digests, again = [], [], [], [], []
+            for text in texts(batch.column(2)):
                 data = text.encode()
                 stops = chunk_ends(data)
                 begins = [0, *stops[:-1]] if stops else []
@@ -92,7 +108,6 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 for d in own:
                     again.append(d in seen)
                     seen.add(d)
-                ids.append(doc_id)
                 counts.append(len(stops))
                 starts += begins
                 ends += stops
@@ -100,31 +115,36 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             keys = _signed(b"".join(digests))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(np.array(ids, np.int64), counts)),
+                    *(pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), counts)) for c in (0, 1)),
                     pa.array(starts, pa.int32()),
                     pa.array(ends, pa.int32()),
                     pa.array(np.ascontiguousarray(keys[:, 0])),
                     pa.array(np.ascontiguousarray(keys[:, 1])),
                     pa.array(again, pa.bool_()),
                 ],
-                ["doc_id", "start", "end", "hi", "lo", "again"],
+                ["doc_id", "tag", "start", "end", "hi", "lo", "again"],
             )
 
-    wanted = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id IS NOT NULL AND text <> ''")
-    return wanted.mapInArrow(work, "doc_id long, start int, end int, hi long, lo long, again boolean")
+    wanted = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), tag.alias("tag"), F.col(f"`{text_col}`").cast("string").alias("text")).where("doc_id IS NOT NULL AND text <> ''")
+    return wanted.mapInArrow(work, "doc_id long, tag long, start int, end int, hi long, lo long, again boolean")
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per text with repeated chunks: ``doc_id, spans`` (array of start, end, first_doc, kept, key, who).
+def repeated_chunks(docs: DataFrame, tag: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per text with repeated chunks: ``doc_id, tag, spans`` (array of start, end, first_doc, kept, key, who).
 
     ``key`` stands for the digest, ``who`` for the texts that hold it, each as often as it does.
+    The corpus is cut twice, once to count and once to place: keeping 20 million chunks a GB
+    between the two would cost more disk than cutting again costs time.
     """
-    found = chunks(docs, id_col, text_col)
+    found = chunks(docs, tag, id_col, text_col)
     # Counts and minima are combined before the shuffle, and the join is a plain equi-join
     # whose large partitions adaptive execution splits, so a hot digest needs no one task.
-    often = found.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.expr("bit_xor(xxhash64(doc_id, again)) + count(*)").alias("who")).where("n > 1").drop("n")
-    marked = found.join(often, ["hi", "lo"]).select("doc_id", F.struct("start", "end", "first_doc", F.expr("doc_id = first_doc AND NOT again").alias("kept"), F.xxhash64("hi", "lo").alias("key"), "who").alias("span"))
-    return marked.groupBy("doc_id").agg(F.sort_array(F.collect_set("span")).alias("spans"))
+    first = F.min(F.struct("doc_id", "tag")).alias("first")
+    often = found.groupBy("hi", "lo").agg(F.count("*").alias("n"), first, F.expr("bit_xor(xxhash64(doc_id, tag, again)) + count(*)").alias("who")).where("n > 1").drop("n")
+    kept = F.expr("doc_id = first.doc_id AND tag = first.tag AND NOT again").alias("kept")
+    span = F.struct("start", "end", F.col("first.doc_id").alias("first_doc"), kept, F.xxhash64("hi", "lo").alias("key"), "who")
+    marked = found.join(often, ["hi", "lo"]).select("doc_id", "tag", span.alias("span"))
+    return marked.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set("span")).alias("spans"))
 
 
 def borders(data: bytes, spans: list[dict]) -> Iterator[tuple[int, int, int, bool, bytes]]:
@@ -145,31 +165,36 @@ def common(a: bytes, b: bytes) -> int:
     return next(i for i in range(n) if a[i] != b[i])
 
 
-def extensions(joined: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per text whose runs go on beyond their chunks: ``_own, ext`` (array of at, side, n)."""
+def extensions(joined: DataFrame) -> DataFrame:
+    """One row per text whose runs go on beyond their chunks: ``doc_id, tag, ext`` (array of at, side, n).
+
+    ``joined`` has ``doc_id, tag, text, spans``.
+    """
+    names = ["doc", "tag", "at", "side", "key", "kept", "beyond"]
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
         for batch in batches:
             rows = []
-            for doc_id, text, own in zip(*(batch.column(c).to_pylist() for c in (id_col, text_col, "spans"))):
-                if own:
-                    rows += [(int(doc_id), *b) for b in borders((text or "").encode(), own)]
+            for doc_id, tag, text, own in zip(*(c.to_pylist() for c in batch.columns)):
+                rows += [(doc_id, tag, *b) for b in borders((text or "").encode(), own)]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc", "at", "side", "key", "kept", "beyond"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, at, first, first_at, side, a, b = (c.to_pylist() for c in batch.columns)
+            doc, tag, at, first, first_tag, first_at, side, a, b = (c.to_pylist() for c in batch.columns)
             n = [common(x, y) for x, y in zip(a, b)]
-            yield pa.RecordBatch.from_arrays([pa.array(doc + first, pa.int64()), pa.array(at + first_at, pa.int32()), pa.array(side * 2, pa.int32()), pa.array(n * 2, pa.int32())], ["doc", "at", "side", "n"])
+            columns = [pa.array(doc + first, pa.int64()), pa.array(tag + first_tag, pa.int64()), pa.array(at + first_at, pa.int32()), pa.array(side * 2, pa.int32()), pa.array(n * 2, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "tag", "at", "side", "n"])
 
-    found = joined.where("spans IS NOT NULL").mapInArrow(edges, "doc long, at int, side int, key long, kept boolean, beyond binary")
+    found = joined.where("spans IS NOT NULL").mapInArrow(edges, "doc long, tag long, at int, side int, key long, kept boolean, beyond binary")
     # Each key has one keeper, so a frequent key makes no more rows than it has holders, and the join may be split.
-    keepers = found.where("kept").select("key", "side", F.col("doc").alias("first"), F.col("at").alias("first_at"), F.col("beyond").alias("first_beyond"))
-    pairs = found.where("NOT kept").join(keepers, ["key", "side"]).select("doc", "at", "first", "first_at", "side", "beyond", "first_beyond")
-    longest = pairs.mapInArrow(measure, "doc long, at int, side int, n int").where("n > 0").groupBy("doc", "at", "side").agg(F.max("n").alias("n"))
-    return longest.groupBy(F.col("doc").alias("_own")).agg(F.collect_list(F.struct("at", "side", "n")).alias("ext"))
+    # (Rows that repeat id and text keep alike; one of them is enough.)
+    keepers = found.where("kept").select("key", "side", *(F.col(c).alias(f"first_{c}") for c in ("doc", "tag", "at", "beyond"))).dropDuplicates(["key", "side"])
+    pairs = found.where("NOT kept").join(keepers, ["key", "side"]).select("doc", "tag", "at", "first_doc", "first_tag", "first_at", "side", "beyond", "first_beyond")
+    longest = pairs.mapInArrow(measure, "doc long, tag long, at int, side int, n int").where("n > 0").groupBy("doc", "tag", "at", "side").agg(F.max("n").alias("n"))
+    return longest.groupBy(F.col("doc").alias("doc_id"), "tag").agg(F.collect_list(F.struct("at", "side", "n")).alias("ext"))
 
 
 def extended(spans: list[dict], ext: list[dict] | None) -> list[dict]:
@@ -229,21 +254,26 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text without repeated passages is unchanged.
     """
     new = ["removed_bytes", "n_passages", "passage_words", "first_doc_ids"]
-    docs = docs.drop(*new, "spans")
-    spans = cut(repeated_chunks(docs, id_col, text_col), "sdedup-spans").withColumnRenamed("doc_id", "_id")
-    joined = docs.join(spans, docs[id_col].cast("bigint") == spans["_id"], "left").drop("_id")
-    joined = joined.join(extensions(joined, id_col, text_col), joined[id_col].cast("bigint") == F.col("_own"), "left").drop("_own")
-    schema = docs.schema
-    out_fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    own = [c for c in docs.columns if c not in new]
+    fields = [docs.schema[c] for c in own]
+    tag = row_tag(docs, id_col, text_col)
+    spans = cut(repeated_chunks(docs, tag, id_col, text_col), "sdedup-spans")
+    # The row travels as one struct, so that no column of it can clash with the operator's own.
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"), F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), tag.alias("tag"))
+    joined = keyed.join(spans, ["doc_id", "tag"], "left")
+    found = extensions(joined.select("doc_id", "tag", F.col("row").getField(text_col).cast("string").alias("text"), "spans"))
+    joined = joined.join(found, ["doc_id", "tag"], "left").select("row", "spans", "ext")
+    kinds = {"removed_bytes": pa.int64(), "n_passages": pa.int64(), "passage_words": pa.int64(), "first_doc_ids": pa.list_(pa.int64())}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(text_col).to_pylist()
-            found = [own and extended(own, ext) for own, ext in zip(batch.column("spans").to_pylist(), batch.column("ext").to_pylist())]
+            columns = dict(zip(own, batch.column("row").flatten()))
+            column = columns[text_col].to_pylist()
+            found = [s and extended(s, ext) for s, ext in zip(batch.column("spans").to_pylist(), batch.column("ext").to_pylist())]
             extra: dict[str, list] = {x: [] for x in new}
-            for i, own in enumerate(found):
-                data = (column[i] or "").encode() if own else b""
-                runs = passages(data, own, min_words) if own else []
+            for i, spans in enumerate(found):
+                data = (column[i] or "").encode() if spans else b""
+                runs = passages(data, spans, min_words) if spans else []
                 ranges = removed_ranges(data, runs)
                 if ranges:
                     stops = [0, *(b for _, b in ranges)]
@@ -252,9 +282,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 extra["n_passages"].append(len(runs))
                 extra["passage_words"].append(sum(len(data[r[0]["start"] : r[-1]["end"]].split()) for r in runs))
                 extra["first_doc_ids"].append(sorted({s["first_doc"] for r in runs for s in r}))
-            out = {f: batch.column(f) for f in schema.names} | {text_col: pa.array(column, pa.string())}
-            kinds = {"removed_bytes": pa.int64(), "n_passages": pa.int64(), "passage_words": pa.int64(), "first_doc_ids": pa.list_(pa.int64())}
-            out |= {k: pa.array(v, kinds[k]) for k, v in extra.items()}
-            yield pa.RecordBatch.from_pydict(out)
+            columns[text_col] = pa.array(column, pa.string())
+            yield pa.RecordBatch.from_arrays([*columns.values(), *(pa.array(extra[k], kinds[k]) for k in new)], [*own, *new])
 
-    return joined.mapInArrow(work, f"{out_fields}, removed_bytes long, n_passages long, passage_words long, first_doc_ids array<long>")
+    counts = [T.StructField(c, T.LongType()) for c in new[:3]]
+    return joined.mapInArrow(work, T.StructType([*fields, *counts, T.StructField(new[3], T.ArrayType(T.LongType()))]))

@@ -96,6 +96,35 @@ def test_substring_dedup(docs):
     assert substring_dedup.substring_dedup(docs.limit(0)).count() == 0
 
 
+def test_substring_dedup_keeps_what_does_not_repeat_under_a_repeated_id(spark):
+    own = " ".join(f"own{i * 17 % 9001}" for i in range(300))
+    rows = [(1, PASSAGE), (5, "q " + PASSAGE), (5, own), (5, own), (None, PASSAGE), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"_id": F.lit(1), "a.b": F.lit("x"), "tag": F.lit(2), "row": F.lit(3)})
+    out = substring_dedup.substring_dedup(df).collect()
+    assert Counter((r.doc_id, r.text, r["_id"], r["a.b"], r.tag) for r in out if r.text != "q ") == Counter((i, t, 1, "x", 2) for i, t in rows if t != "q " + PASSAGE)
+    assert [(r.doc_id, r.text.strip(), r.first_doc_ids) for r in out if r.removed_bytes] == [(5, "q", [1])]
+
+
+def brute_chunks(rows):
+    """(id, text) to the spans of its repeated chunks, and whether each is the first occurrence in the smallest id."""
+    held, out = defaultdict(list), defaultdict(set)
+    for i, text in rows:
+        data = (text or "").encode()
+        ends = substring_dedup.chunk_ends(data)
+        for a, b in zip([0, *ends], ends):
+            held[data[a:b]].append((i, a, b))
+    for places in held.values():
+        for place in places if len(places) > 1 else ():
+            out[place[0]].add((*place[1:], place == min(places)))
+    return out
+
+
+def test_repeated_chunks_match_brute_force(real):
+    tag = substring_dedup.row_tag(real, "doc_id", "text")
+    found = {r.doc_id: {(s.start, s.end, s.kept) for s in r.spans} for r in substring_dedup.repeated_chunks(real, tag).collect()}
+    assert found == brute_chunks([(r.doc_id, r.text) for r in real.collect()]) and found
+
+
 def test_chunks_cover_text_and_resist_shifts():
     data = LONG.encode()
     ends = substring_dedup.chunk_ends(data)
