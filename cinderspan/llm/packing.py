@@ -4,17 +4,30 @@
    tokens, of which the first may be shorter. Pieces and their counts per length are made by
    Spark; the histogram has ``capacity`` entries at most, whatever the corpus.
 2. On that histogram the driver solves the configuration program: cover every length's count
-   by configurations (multisets of lengths that fit) with the fewest sequences. Prices start in
-   proportion to length to the power 1.2 and are updated multiplicatively by how far each length lags; the best
-   configuration under the prices comes from a knapsack dynamic program over the capacity.
-   Each is used as often as the scarcest of its lengths allows.
-3. Uses are rounded down to whole sequences; what is left of each length, a few pieces for each
-   configuration, is packed best-fit on the histogram.
+   by configurations (multisets of lengths that fit) with the fewest sequences. Each length has
+   a weight, its price, which is kept over the turns. In a turn a knapsack dynamic program over
+   the capacity prices the best fill of every room; as many sequences as the bound allows start
+   with the longest pieces and take the best fill of what room is left. Every weight is then
+   multiplied by exp(-``rate`` * (share of the length's count that the turn covered - 1)). The
+   average over the turns after the first ``settle`` is the fractional solution. Prices divided
+   by the best configuration's worth are a dual solution, so the best of their totals bounds
+   every packing from below; a plan reports both values.
+3. Average uses are rounded down to whole sequences, those of less than a ``SMALLEST``-th of all
+   sequences to none. What is left is an instance of the same program again: weights that are
+   multiplied by exp(-``rate`` * share covered), and a priced configuration at a time, in whole
+   numbers, as often as its scarcest length lasts. The last few pieces are packed best-fit.
 4. Pieces are numbered within their length (per salt, with offsets from counts, so no length
-   needs one task), and a piece's number and length give its configuration, copy and place.
+   needs one task), and a piece's number and length give its configuration, copy and place. A
+   (length, salt) group has about ``per_salt`` rows times the length's share of all pieces, so no
+   more than ``per_salt`` or so even if all pieces are of one length.
+
+The plan has at most ``SMALLEST`` configurations from the average and one for each length from
+the rest, however large the corpus is; that is what is broadcast.
 
 A null text is empty. Every document ends with ``end_id``, so an empty one is a piece of one
-token. Rows with a null or repeated id are pieces of their own. An empty table gives no rows.
+token. Rows with a null or repeated id are pieces of their own. A text of any length is cut into
+pieces within its row. An empty table gives no rows. Only the two named columns are read, so
+other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -75,93 +88,154 @@ def pieces(docs: DataFrame, encoder=public_byte_bpe, capacity: int = 2048, end_i
                 columns["ids"] = pa.array(out["ids"], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
 
-    wanted = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    wanted = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return wanted.mapInArrow(work, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
+#: The smallest share of all sequences, as its inverse, that a rounded configuration has.
+SMALLEST = 20_000
+
+
 @dataclass
 class Plan:
-    """Configurations with the number of sequences of each; ``items`` are lengths in order."""
+    """Configurations with the number of sequences of each; ``items`` are lengths in order.
+
+    ``value`` and ``bound`` are those of the fractional solution and of the best dual one.
+    """
 
     capacity: int
     configs: list[tuple[int, ...]] = field(default_factory=list)
     uses: list[int] = field(default_factory=list)
+    value: float = 0.0
+    bound: float = 0.0
 
     def add(self, items: tuple[int, ...], uses: int) -> None:
         if uses:
             self.configs.append(items)
             self.uses.append(uses)
 
-    def slots(self) -> dict[int, tuple[list[int], list[tuple[int, int, int, int]]]]:
-        """Per length: running counts, and (first sequence, uses, copies, offset of the first copy)."""
-        out: dict[int, tuple[list[int], list[tuple[int, int, int, int]]]] = {}
+    def slots(self) -> dict[int, np.ndarray]:
+        """Per length, one column for each configuration that holds it: running count, first sequence, uses, offset of the first copy."""
+        out: dict[int, list[tuple[int, int, int, int]]] = {}
         base = 0
         for items, uses in zip(self.configs, self.uses):
             at = 0
             for length in dict.fromkeys(items):
                 copies = items.count(length)
-                ends, places = out.setdefault(length, ([], []))
-                ends.append((ends[-1] if ends else 0) + copies * uses)
-                places.append((base, uses, copies, at))
+                out.setdefault(length, []).append((copies * uses, base, uses, at))
                 at += copies * length
             base += uses
+        found = {k: np.array(v, np.int64).T for k, v in out.items()}
+        for table in found.values():
+            np.cumsum(table[0], out=table[0])
+        return found
+
+
+class Fills:
+    """The knapsack program: the most valuable fill of every room up to the capacity, lengths repeating."""
+
+    def __init__(self, values: np.ndarray, capacity: int):
+        """``values[l]`` is that of length l, -inf where there is none."""
+        self.best = best = np.zeros(capacity + 1)
+        self.choice = [0] * (capacity + 1)
+        for room in range(1, capacity + 1):
+            gains = values[1 : room + 1] + best[room - 1 :: -1][:room]
+            k = int(gains.argmax())
+            if gains[k] > best[room - 1]:
+                best[room], self.choice[room] = gains[k], k + 1
+            else:
+                best[room] = best[room - 1]
+
+    def covered(self, starts: np.ndarray) -> np.ndarray:
+        """Pieces of each length in the fills beside ``starts`` (sequences by the length they start with)."""
+        size = len(starts)
+        flow, out = starts[::-1].tolist(), [0.0] * size  # by the room that is left
+        for room in range(size - 1, 0, -1):
+            if flow[room]:
+                length = self.choice[room]
+                out[length] += flow[room]
+                flow[room - (length or 1)] += flow[room]
+        out[0] = 0.0
+        return np.array(out)
+
+    def fill(self, room: int) -> list[int]:
+        out = []
+        while room:
+            if length := self.choice[room]:
+                out.append(length)
+                room -= length
+            else:
+                room -= 1
         return out
 
 
-def knapsack(values: np.ndarray, capacity: int) -> list[int]:
-    """Lengths (with repeats) of the most valuable fill; ``values[l]`` is that of length l, -inf where there is none."""
-    best = np.zeros(capacity + 1)
-    choice = np.zeros(capacity + 1, np.int64)
-    for room in range(1, capacity + 1):
-        gains = values[1 : room + 1] + best[room - 1 :: -1][:room]
-        k = int(gains.argmax())
-        if gains[k] > best[room - 1]:
-            best[room], choice[room] = gains[k], k + 1
-        else:
-            best[room] = best[room - 1]
-    out, room = [], capacity
-    while room:
-        if choice[room]:
-            out.append(int(choice[room]))
-            room -= int(choice[room])
-        else:
-            room -= 1
-    return sorted(out, reverse=True)
+def fractional(need: np.ndarray, capacity: int, turns: int = 500, settle: int = 100, rate: float = 0.01) -> tuple[dict[tuple[int, ...], float], np.ndarray, float, float]:
+    """Uses of configurations, what they cover, their number and the dual bound, on average over turns of multiplicative weights.
+
+    ``need`` is a count per length. Uses of less than a quarter of a sequence are counted, not named.
+    """
+    lengths = np.flatnonzero(need)
+    weight = np.where(need > 0, np.arange(capacity + 1) / capacity, 0.0)
+    used: dict[tuple[int, ...], float] = {}
+    covered, number, bound = np.zeros(capacity + 1), 0.0, 0.0
+    for turn in range(turns):
+        fills = Fills(np.where(need > 0, weight, -np.inf), capacity)
+        top = (weight[lengths] + fills.best[capacity - lengths]).max()
+        bound = max(bound, float((need * weight).sum() / top))
+        before = np.cumsum(need[::-1])[::-1] - need  # pieces that are longer
+        starts = np.clip(bound - before, 0, need)
+        now = starts + fills.covered(starts)
+        weight *= np.exp(-rate * (np.where(need > 0, now / np.maximum(need, 1), 1.0) - 1))
+        weight /= weight.max()
+        if turn >= settle:
+            covered += now
+            number += starts.sum()
+            for length in np.flatnonzero(starts >= 0.25 * (turns - settle)).tolist():
+                items = tuple(sorted([length, *fills.fill(capacity - length)], reverse=True))
+                used[items] = used.get(items, 0.0) + starts[length]
+    kept = turns - settle
+    return {c: u / kept for c, u in used.items()}, covered / kept, number / kept, bound
 
 
 def solve(histogram: dict[int, int], capacity: int, rate: float = 0.5) -> Plan:
     """Configurations that hold every piece of ``histogram`` (length to count)."""
     plan = Plan(capacity)
-    plan.add((capacity,), histogram.get(capacity, 0))
+    full = histogram.get(capacity, 0)
+    plan.add((capacity,), full)
     need = np.zeros(capacity + 1)
     for length, count in histogram.items():
         if length < capacity:
             need[length] = count
+    if not need.any():
+        plan.value = plan.bound = full
+        return plan
+    average, covered, number, bound = fractional(need, capacity)
+    # A fractional cover: the average, and its gaps packed best-fit in thousandths of a piece.
+    left = need - covered
+    gaps = {int(x): int(np.ceil(left[x] * 1000)) for x in np.flatnonzero(left > 1e-9)}
+    plan.value = full + number + sum(n for _, n in best_fit(gaps, capacity)) / 1000
+    plan.bound = full + bound
     whole = need.astype(np.int64)
-    left = need.copy()
-    fractional: list[tuple[tuple[int, ...], float]] = []
-    size = (np.arange(capacity + 1) / capacity) ** 1.2  # steeper than length: long pieces are the hard ones
-    while True:
-        live = left >= 1
-        if live.sum() == 0 or left[live].sum() < 2:
-            break
-        # A length whose share left is above the mean's is dear; the factors are the multiplicative weights.
-        share = np.where(live, left / np.maximum(need, 1), 0)
-        weight = np.exp(rate * (share - share[live].mean()))
-        values = np.where(live, size * np.where(live, weight, 1), -np.inf)
-        items = knapsack(values, capacity)
-        if not items:
+    least = max(1.0, number / SMALLEST)
+    for items, uses in sorted(average.items(), key=lambda x: (-x[1], x[0])):
+        if uses < least:
             break
         lengths, copies = np.unique(items, return_counts=True)
-        step = float((left[lengths] / copies).min())
-        left[lengths] -= step * copies
-        fractional.append((tuple(items), step))
-    for items, step in fractional:
-        uses = int(step + 1e-9)
-        if uses:
-            plan.add(items, uses)
-            np.subtract.at(whole, list(items), uses)
-    for items, uses in best_fit({int(x): int(whole[x]) for x in np.flatnonzero(whole)}, capacity):
+        uses = min(int(uses), int((whole[lengths] // copies).min()))
+        plan.add(items, uses)
+        whole[lengths] -= uses * copies
+    rest = whole.copy()
+    weight = (np.arange(capacity + 1) / capacity) ** 1.2  # steeper than length: long pieces are the hard ones
+    while (live := rest > 0).any():
+        items = Fills(np.where(live, weight, -np.inf), capacity).fill(capacity)
+        lengths, copies = np.unique(items, return_counts=True)
+        uses = int((rest[lengths] // copies).min())
+        if not uses:
+            break
+        plan.add(tuple(sorted(items, reverse=True)), uses)
+        rest[lengths] -= uses * copies
+        weight[lengths] *= np.exp(-rate * uses * copies / whole[lengths])
+    for items, uses in best_fit({int(x): int(rest[x]) for x in np.flatnonzero(rest)}, capacity):
         plan.add(items, uses)
     return plan
 
@@ -214,14 +288,15 @@ def best_fit_packing(docs: DataFrame, encoder=public_byte_bpe, capacity: int = 2
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sequences, offsets_ = [], []
-            for length, number in zip(batch.column("length").to_pylist(), batch.column("number").to_pylist()):
-                ends, places = slots.value[length]
-                k = bisect.bisect_right(ends, number)
-                base, uses, _, at = places[k]
-                own = number - (ends[k - 1] if k else 0)
-                sequences.append(base + own % uses)
-                offsets_.append(at + own // uses * length)
+            lengths, numbers = (batch.column(c).to_numpy() for c in ("length", "number"))
+            sequences, offsets_ = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+            for length in np.unique(lengths):
+                rows = np.flatnonzero(lengths == length)
+                ends, base, uses, at = slots.value[int(length)]
+                k = np.searchsorted(ends, numbers[rows], side="right")
+                own = numbers[rows] - np.where(k > 0, ends[k - 1], 0)
+                sequences[rows] = base[k] + own % uses[k]
+                offsets_[rows] = at[k] + own // uses[k] * length
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(sequences, pa.int64()), pa.array(offsets_, pa.int64())], [*names, "sequence_id", "offset"])
 
