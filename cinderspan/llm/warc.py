@@ -8,7 +8,10 @@ to a gap and a size, fetches each merged range once and cuts the records out.
 Of pages with equal payloads of at least ``least`` bytes, that with the largest id becomes a
 response and the others revisit it; smaller payloads are all responses. A null payload is empty.
 Pages with a null id are archived under no id and never refer to, nor are referred to by, others.
-Rows that repeat an id and payload are responses alike.
+Rows that repeat an id and payload are responses alike. Every record has an id of its own, made from
+its file and offset; the page's id is a field beside it. A payload of any length is one record. An
+empty table gives an empty index. Only ``page_id``, ``url`` and ``html`` are read, so other columns
+cannot clash.
 
 Archives go to the shared folder under names that no other attempt uses; an attempt that fails
 leaves a file that no index row names.
@@ -32,19 +35,20 @@ from cinderspan.llm.arrow import groups
 from cinderspan.session import cut, shared_path
 
 INDEX = "page_id long, url string, payload_digest string, record_type string, refers_to long, file string, offset long, length long"
-RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+RECORD = "record_id string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 DATE = "2024-01-01T00:00:00Z"
 
 
-def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One response or revisit record as a gzip member. A revisit keeps the HTTP header alone."""
+def record(name: str, page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+    """One response or revisit record as a gzip member; ``name`` makes its id. A revisit keeps the HTTP header alone."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     revisit = refers_to is not None
     block = head if revisit else head + payload
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>",
+        f"X-Page-ID: {'' if page_id is None else page_id}",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {url}",
         f"WARC-Payload-Digest: sha1:{digest}",
@@ -52,7 +56,7 @@ def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to
         f"Content-Length: {len(block)}",
     ]
     if revisit:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-ID: {refers_to}"]
     return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", 4, mtime=0)
 
 
@@ -64,19 +68,20 @@ def parse(member: bytes) -> dict:
     block = rest[: int(fields["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     told = dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])
-    number = lambda x: int(x[10:-1]) if x and len(x) > 11 else None
+    number = lambda x: int(x) if x else None
     revisit = fields["WARC-Type"] == "revisit"
     if not revisit:
         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
         if f"sha1:{digest}" != fields["WARC-Payload-Digest"] or len(payload) != int(told["Content-Length"]):
             raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
     return {
-        "page_id": number(fields["WARC-Record-ID"]),
+        "record_id": fields["WARC-Record-ID"],
+        "page_id": number(fields["X-Page-ID"]),
         "url": fields["WARC-Target-URI"],
         "payload_bytes": int(told["Content-Length"]),
         "payload_digest": fields["WARC-Payload-Digest"][5:],
         "record_type": fields["WARC-Type"],
-        "refers_to": number(fields.get("WARC-Refers-To")),
+        "refers_to": number(fields.get("X-Refers-To-Page-ID")),
         "payload": None if revisit else payload,
     }
 
@@ -109,7 +114,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = 0,
                     payload = html.encode()
                     clean = "".join(url.splitlines())
                     digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                    member = record(page_id, clean, payload, digest, newest_id)
+                    member = record(f"{name}#{at}", page_id, clean, payload, digest, newest_id)
                     out.write(member)
                     index.append((page_id, clean, digest, "response" if newest_id is None else "revisit", newest_id, f"{folder}/{name}", at, len(member)))
                     at += len(member)
@@ -125,19 +130,22 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = 0,
     return cut(marked.mapInArrow(work, INDEX), "warc-index")
 
 
-def read_records(index: DataFrame, gap: int = 64 << 10, most: int = 8 << 20, with_payload: bool = False, per_part: int = 20_000) -> DataFrame:
+def read_records(index: DataFrame, gap: int = 64 << 10, most: int = 8 << 20, with_payload: bool = False, per_task: int = 32 << 20) -> DataFrame:
     """The records of the selected index rows, each merged range fetched once.
 
-    An archive's rows are dealt by stretches of ``per_part`` megabyte-aligned offsets, so a
-    large archive is read by several tasks.
+    An archive's rows are dealt by stretches of ``most`` bytes of it, so a large archive is read by
+    several tasks, and the tasks are as many as the bytes that they read ask for (about ``per_task``
+    each): the index alone is small, and by its own size one task would read every archive.
     """
-    stretch = F.floor(F.col("offset") / F.lit(16 << 20))
+    stretch = F.floor(F.col("offset") / F.lit(most))
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, total // per_task + 1)
     dealt = index.select("file", "offset", "length").withColumn("key", F.concat_ws("#", "file", stretch.cast("string")))
-    dealt = dealt.repartition("key").sortWithinPartitions("key", "offset")
+    dealt = dealt.repartition(tasks, "key").sortWithinPartitions("key", "offset")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in RECORD.split(", ")] + ["payload"] * with_payload
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
         for group in groups(batches, "key"):
             system, path = fs.FileSystem.from_uri(group.column("file")[0].as_py())
             spans = list(zip(group.column("offset").to_pylist(), group.column("length").to_pylist()))
