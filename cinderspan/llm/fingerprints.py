@@ -14,8 +14,12 @@ Equal texts have equal fingerprints; an empty text has a fingerprint of its own.
 ``fingerprint_neighbours`` also fingerprints each text's edited form, its last quarter replaced
 by the start of the next text in ascending id. Texts are range-partitioned and sorted by id
 once; a task holds two texts at a time, and the first text of each range travels to the range
-before it. Null texts are empty. Null ids come first, ties are ordered by text, and the last
-text is followed by the first.
+before it. Null ids come first, ties are ordered by a digest of the text and by the text, and the last
+text is followed by the first. An id of so many rows that it fills several ranges is dealt over them
+by the digest; only rows that repeat both id and text stay in one range.
+
+Null texts are empty. A text of any length is fingerprinted whole, in memory in proportion to it.
+An empty table gives no rows. Only the two named columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -161,38 +165,40 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
     ``common_prefix`` is the longest common extension of the text and its edited form from 0.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    docs = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tag"))
     # Ranges come from the ids alone: bounds of about per_range rows each, a few numbers a range.
-    ids = docs.select("doc_id")
+    lowest = -(1 << 63)
+    ids = docs.select(F.coalesce("doc_id", F.lit(lowest)).alias("doc_id"))
     total = ids.count()
     parts = max(1, total // per_range, spark.sparkContext.defaultParallelism if total > 1000 else 1)
-    bounds = sorted({int(x) for x in ids.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)}) if parts > 1 else []
-    place = F.lit(0)
-    if bounds:
-        # The position of the id among the bounds, by a search in the row's task.
-        known = spark.sparkContext.broadcast(np.array(bounds, np.int64))
-
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = np.searchsorted(known.value, np.array([-(1 << 63) if x is None else x for x in batch.column(0).to_pylist()], np.int64), side="right")
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.astype(np.int32))], ["doc_id", "text", "part"])
-
-        placed = docs.mapInArrow(search, "doc_id long, text string, part int")
-    else:
-        placed = docs.withColumn("part", place.cast("int"))
-    by_part = F.struct(F.col("doc_id").isNotNull().alias("k"), "doc_id")
-    firsts = {r.part: r.first for r in placed.groupBy("part").agg(F.min(by_part).alias("first")).collect()}
+    bounds = sorted(int(x) for x in ids.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)) if parts > 1 else []
+    # An id that is a bound several times has that many ranges, dealt by the digest.
+    known = spark.sparkContext.broadcast(np.array(bounds, np.int64))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.array([lowest if x is None else x for x in batch.column(0).to_pylist()], np.int64)
+            low, high = (np.searchsorted(known.value, own, side=x) for x in ("left", "right"))
+            share = batch.column(2).to_numpy() / 2.0**64 + 0.5
+            found = np.where(high > low, low + 1 + np.minimum((share * (high - low)).astype(np.int64), high - low - 1), high)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.astype(np.int32))], ["doc_id", "text", "tag", "part"])
+
+    placed = docs.mapInArrow(search, "doc_id long, text string, tag long, part int")
+    by_part = F.struct(F.col("doc_id").isNotNull().alias("k"), "doc_id", "tag")
+    firsts = {r.part: r["first"] for r in placed.groupBy("part").agg(F.min(by_part).alias("first")).collect()}
     order = sorted(firsts)
     # The first text of a range (ties: the smallest) is also the one after the range before it.
     heads = None
-    follow = [(order[k - 1] if k else order[-1], firsts[p].doc_id, p) for k, p in enumerate(order)]
+    follow = [(order[k - 1] if k else order[-1], firsts[p].doc_id, firsts[p].tag, p) for k, p in enumerate(order)]
     if follow:
-        keyed = spark.createDataFrame(follow, "to int, head_id long, from_part int")
-        heads = placed.join(F.broadcast(keyed), (F.col("part") == F.col("from_part")) & F.col("doc_id").eqNullSafe(F.col("head_id")))
-        heads = heads.groupBy("to", "head_id").agg(F.min("text").alias("text")).select(F.col("head_id").alias("doc_id"), "text", F.col("to").alias("part"), F.lit(1).alias("after"))
+        keyed = spark.createDataFrame(follow, "to int, head_id long, head_tag long, from_part int")
+        heads = placed.join(F.broadcast(keyed), (F.col("part") == F.col("from_part")) & F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("tag") == F.col("head_tag")))
+        heads = heads.groupBy("to", "head_id", "tag").agg(F.min("text").alias("text")).select(F.col("head_id").alias("doc_id"), "text", "tag", F.col("to").alias("part"), F.lit(1).alias("after"))
     rows = placed.withColumn("after", F.lit(0))
     rows = rows if heads is None else rows.unionByName(heads)
-    dealt = rows.repartition(max(1, len(bounds) + 1), "part").sortWithinPartitions("part", "after", F.col("doc_id").asc_nulls_first(), "text")
+    # A range is a partition: by its number itself, for hashed numbers would meet.
+    dealt = rows.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "after", F.col("doc_id").asc_nulls_first(), "tag", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "common_prefix"]

@@ -1,5 +1,6 @@
 """The ten operators against brute force, round trips and edge cases."""
 
+import base64
 import hashlib
 import re
 import zlib
@@ -159,6 +160,30 @@ def test_warc_round_trip(spark):
     assert {r.record_type for r in warc.read_records(warc.write_archives(pages, least=5)).collect()} == {"response"}
 
 
+def test_warc_of_the_table_and_of_repeated_rows(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    rows = [(r.page_id, r.url, r.html) for r in pages.collect()]
+    rows += [(10_000 + i, u, h) for i, u, h in rows[:40]] + rows[:3] + [(None, "n", rows[0][2]), (20_000, "n", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"sha1": F.lit(1), "newest": F.lit(2), "file": F.lit(3), "a.b": F.lit(4)})
+    index = warc.write_archives(df.repartition(5), archive_bytes=9_000)
+    assert index.select("file").distinct().count() > 5
+    newest = {}
+    for i, _, h in rows:
+        if i is not None:
+            newest[h or ""] = max(i, newest.get(h or "", i))
+    wanted = Counter()
+    for i, _, h in rows:
+        data = (h or "").encode()
+        other = None if i is None or newest[h or ""] == i else newest[h or ""]
+        wanted[i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "response" if other is None else "revisit", other] += 1
+    found = warc.read_records(index, most=4096).collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in found) == wanted
+    assert len({r.record_id for r in found}) == len(rows)
+    some = {r.page_id for r in warc.read_records(index.where("page_id % 7 = 0")).collect()}
+    assert some == {i for i, *_ in rows if i is not None and i % 7 == 0}
+    assert warc.read_records(warc.write_archives(df.limit(0))).count() == 0
+
+
 def test_license_scan(spark):
     notice = license_scan.TEMPLATES["apache-2.0-notice"]
     df = spark.createDataFrame([(1, f"x y {notice} z {notice}"), (2, notice.replace("the ", "")), (3, "Licensed to nobody under the sun"), (4, None)], "doc_id long, text string")
@@ -202,14 +227,46 @@ def test_lm_scores_match_plain_counts(spark, docs, real, monkeypatch):
     assert lm_scores.lm_scores(docs.limit(0), docs).count() == 0
 
 
-def test_fingerprints(real, docs):
+def brute_fingerprint(text):
+    """Minima of the window hashes by slot, from a plain power sum for each window."""
+    p, codes = (1 << 31) - 1, [ord(c) for c in text]
+    if not codes:
+        return fingerprints.EMPTY
+    width, least = min(fingerprints.WIDTH, max(1, len(codes) // 4)), {}
+    for i in range(len(codes) - width + 1):
+        h = 0
+        for base in fingerprints.BASES:
+            h = h << 31 | sum((c + 1) * pow(base, k, p) for k, c in enumerate(codes[i : i + width])) % p
+        h = h * 0x9E3779B97F4A7C15 % (1 << 64)
+        h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 % (1 << 64)
+        slot = h % fingerprints.SLOTS
+        least[slot] = min(h, least.get(slot, h))
+    return "".join(f"{least[k] >> 8 & 255:02x}" if k in least else ".." for k in range(fingerprints.SLOTS))
+
+
+def test_fingerprints(real, docs, spark):
     rows = sorted((r.doc_id, r.text or "") for r in real.collect())
     found = {r.doc_id: r for r in fingerprints.fingerprint_neighbours(real, per_range=40).collect()}
+    short = 0
     for k, (i, text) in enumerate(rows):
-        changed = fingerprints.edited(text, rows[(k + 1) % len(rows)][1])
+        after = rows[(k + 1) % len(rows)]
+        changed = fingerprints.edited(text, after[1])
         assert found[i].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest() and found[i].n_chars == len(text)
-    assert fingerprints.fingerprint_neighbours(docs).count() == docs.count()
+        assert found[i].near_edited == fingerprints.likeness(found[i].fingerprint, found[i].edited_fingerprint)
+        assert found[i].near_next == fingerprints.likeness(found[i].fingerprint, found[after[0]].fingerprint)
+        if len(text) < 700:
+            short += 1
+            assert found[i].fingerprint == brute_fingerprint(text) and found[i].edited_fingerprint == brute_fingerprint(changed)
+    assert short > 10
+    assert fingerprints.fingerprint_neighbours(docs.withColumns({"part": F.lit(1), "tag": F.lit(2), "after": F.lit(3)})).count() == docs.count()
     assert fingerprints.fingerprint_neighbours(docs.limit(0)).count() == 0
+    # An id and no id with many rows each are dealt over several ranges and still chained in order.
+    hot = [(7 if k % 3 else None, f"text {k} " * (1 + k % 5)) for k in range(400)] + [(k, f"other {k}") for k in range(20)]
+    out = fingerprints.fingerprint_neighbours(spark.createDataFrame(hot, "doc_id long, text string"), per_range=25).collect()
+    tag = {t: x for t, x in spark.createDataFrame(hot, "doc_id long, text string").select("text", F.xxhash64("text")).collect()}
+    line = sorted(hot, key=lambda r: (r[0] is not None, r[0] or 0, tag[r[1]], r[1]))
+    wanted = Counter((i, hashlib.sha256(fingerprints.edited(t, line[(k + 1) % len(line)][1]).encode()).hexdigest()) for k, (i, t) in enumerate(line))
+    assert Counter((r.doc_id, r.edited_sha256) for r in out) == wanted
     a, b = (fingerprints.PrefixHashes(fingerprints.code_points(t)) for t in ("abcdéXabcdé", "abcdé"))
     assert a.equal(6, b, 0, 5) and a.common_extension(6, b, 0) == 5 and a.common_extension(1, b, 0) == 0
 
