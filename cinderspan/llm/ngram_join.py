@@ -13,9 +13,11 @@ Plan:
    shingles never is. What remains are candidates, usually a small share of the texts.
 2. Candidates are counted again among themselves, over all their shingles, and ordered by
    rising number of texts. Shingles of shared passages and common phrases so come last, and
-   prefixes hold what a family of near copies has alone. Under a prefix shingle, texts are
-   chained by size where neighbours are within the threshold's size ratio; chained texts form
-   groups (connected components), so each candidate is shipped to one group.
+   prefixes hold what a family of near copies has alone. Sizes fall into classes of the
+   threshold's ratio, so linked sets are of one class or of neighbouring ones. Under a prefix
+   shingle the texts of a class are tied to its smallest id, and that to the next class's; tied
+   texts form groups (connected components), so each candidate is shipped to one group. Counts
+   and smallest ids are combined before the shuffle, so no shingle needs one task.
 3. A group of more than ``block`` texts is thinned by pivots. All texts are compared
    with one pivot; those that link to it are one component and need no comparison with each
    other. Jaccard distance is a metric, so among the others only those within twice the
@@ -26,12 +28,18 @@ Plan:
    remains on both sides cannot reach the threshold. Pairs that are linked already are
    skipped, so a group emits a spanning forest of its links.
 
+   What stays large after all rounds is split into n blocks of ``block`` texts that are joined
+   pair by pair, so each set is sent n times: that costs the square of such a group's size. It
+   takes texts that share rare shingles with each other and still are far from every pivot.
+
 Null ids are returned without a component. Rows with one id count as one text for linking.
-Empty input gives empty output.
+Empty input gives empty output. Texts of any length are cut into shingles whole. Only the two
+named columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,11 +77,6 @@ def shingles(text: str, n: int = 5) -> np.ndarray:
     return found[np.concatenate([[True], found[1:] != found[:-1]])]
 
 
-def _shared(tokens: DataFrame) -> DataFrame:
-    """Rows of ``node, token, ..`` whose token two or more nodes have, with their number ``texts``."""
-    return tokens.withColumn("texts", F.expr("count(*) OVER (PARTITION BY token)")).where("texts > 1")
-
-
 def trie_links(sets: list[np.ndarray], labels: list[int], percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between ``sets`` (ascending int64 arrays, positions as nodes).
 
@@ -188,20 +191,19 @@ def ngram_jaccard_join(
     part of the hash range whose shingles are counted over all texts, ``block`` the most texts
     that are joined at once; neither changes the result.
     """
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     bound = int(low * (1 << 62))
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, lows, digests = [], [], []
+            sizes, digests = [], []
             for text in texts(batch.column(1)):
                 found = shingles(text, n)
                 sizes.append(len(found))
-                lows.append(int(np.searchsorted(found, bound)))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
             keys = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(lows, pa.int64()), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())], ["doc_id", "n_shingles", "n_low", "hi", "lo"]
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())], ["doc_id", "n_shingles", "hi", "lo"]
             )
 
     def low_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,13 +224,14 @@ def ngram_jaccard_join(
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(keys, np.int64), sizes)), pa.array(tokens)], ["hi", "token"])
 
     # Equal sets share a digest and stand under the smallest id that has it.
-    profiles = cut(docs.mapInArrow(profile, "doc_id long, n_shingles long, n_low long, hi long, lo long"), "njoin-profiles")
-    reps = profiles.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("size"), F.max("n_low").alias("n_low"))
+    profiles = cut(docs.mapInArrow(profile, "doc_id long, n_shingles long, hi long, lo long"), "njoin-profiles")
+    reps = profiles.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("size"))
     tokens = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(low_shingles, "hi long, token long")
-    spread = "OVER (PARTITION BY token)"
-    shared = tokens.select("hi", "token", F.expr(f"min(hi) {spread}").alias("a"), F.expr(f"max(hi) {spread}").alias("b")).where("a < b").groupBy("hi", "token").agg(F.lit(1)).groupBy("hi").agg(F.count("*").alias("n_shared"))
+    # A shingle is lone where the smallest and the largest digest that hold it are one.
+    ends = tokens.groupBy("token").agg(F.min("hi").alias("hi"), F.max("hi").alias("last")).where("hi = last")
+    lone = ends.groupBy("hi").agg(F.count("*").alias("n_lone"))
     need = F.expr(f"size - cast(ceil({percent} * size / 100) AS bigint) + 1")
-    suspects = cut(reps.join(shared, "hi", "left").withColumn("need", need).where("n_low - coalesce(n_shared, 0) < need").select("node", "need", "size"), "njoin-suspects")
+    suspects = cut(reps.join(lone, "hi", "left").withColumn("need", need).where("coalesce(n_lone, 0) < need").select("node", "need", "size"), "njoin-suspects")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,14 +241,20 @@ def ngram_jaccard_join(
     # Suspects grow with the corpus, so neither side of this join is ever broadcast.
     wanted = docs.join(suspects.select("node").hint("merge"), docs.doc_id == F.col("node"))
     candidates = cut(wanted.select("node", "text").mapInArrow(sets, "node long, keys array<long>"), "njoin-sets")
-    ranked = _shared(candidates.select("node", F.explode("keys").alias("token"))).join(suspects, "node").select(
+    held = candidates.select("node", F.explode("keys").alias("token"))
+    often = held.groupBy("token").agg(F.count("*").alias("texts")).where("texts > 1")
+    ranked = held.join(often, "token").join(suspects, "node").select(
         "node", "need", "size", "token",
         F.expr("row_number() OVER (PARTITION BY node ORDER BY texts, token)").alias("place"),
         F.expr("size - count(*) OVER (PARTITION BY node)").alias("alone"),
     )
-    before = "OVER (PARTITION BY token ORDER BY size, node)"
-    chained = ranked.where("place + alone <= need").select("node", "size", F.expr(f"lag(node) {before}").alias("other"), F.expr(f"lag(size) {before}").alias("less"))
-    partners = chained.where((F.col("node") != F.col("other")) & (100 * F.col("less") >= percent * F.col("size"))).select("node", "other").distinct()
+    # A class is a whisker wider than the ratio, so rounding cannot put linked sizes two classes apart.
+    grade = F.floor(F.log(F.col("size").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).alias("grade")
+    prefixes = cut(ranked.where("place + alone <= need").select("node", "token", grade), "njoin-prefixes")
+    hubs = prefixes.groupBy("token", "grade").agg(F.min("node").alias("hub"))
+    above = hubs.select("token", (F.col("grade") - 1).alias("grade"), F.col("hub").alias("other"))
+    tied = prefixes.join(hubs, ["token", "grade"]).select("node", F.col("hub").alias("other"))
+    partners = tied.unionByName(hubs.join(above, ["token", "grade"]).select(F.col("hub").alias("node"), "other")).where("node <> other").distinct()
     coarse = cut(connected_components(partners, "node", "other"), "njoin-coarse")
     sizes = coarse.groupBy("component").agg(F.count("*").alias("texts"))
     grouped = candidates.join(coarse.join(sizes, "component"), "node").select(F.col("component").cast("string").alias("gid"), "node", "keys", "texts")

@@ -85,5 +85,25 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in found}
 
 
+_SHINGLES = """select doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+  from (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents)"""
+
+OP3_SQL = f"""with recursive sets as ({_SHINGLES}), tokens as (select doc_id, unnest(s) as t from sets), sizes as (select doc_id, len(s) as n from sets),
+pairs as (select a.doc_id as x, b.doc_id as y, count(*) as m from tokens a join tokens b on a.t = b.t and a.doc_id < b.doc_id group by 1, 2),
+links as (select x, y from pairs join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * m >= 75 * (p.n + q.n - m)),
+edges as (select x, y from links union all select y, x from links),
+reach as (select doc_id as x, doc_id as c from sizes union select e.y as x, r.c from reach r join edges e on e.x = r.x)
+select s.doc_id, cast(s.n as bigint) as n_shingles, min(r.c) as component_id from sizes s join reach r on r.x = s.doc_id group by 1, 2"""
+
+#: Base 32 from 40 hex digits: five of them are four letters.
+_BASE32 = """list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + cast((cast(concat('0x', substr(h, 1 + 5 * cast(i // 4 as int), 5)) as bigint) >> cast(15 - 5 * (i % 4) as bigint)) & 31 as int), 1)), 'string_agg', '')"""
+
+OP4_SQL = f"""with p as (select page_id, octet_length(encode(coalesce(html, ''))) as n, sha1(coalesce(html, '')) as h from pages), m as (select h, max(page_id) as newest from p group by 1)
+select page_id, cast(n as bigint) as payload_bytes, {_BASE32} as payload_digest, case when page_id = newest then 'response' else 'revisit' end as record_type,
+  case when page_id <> newest then newest end as refers_to from p join m using (h)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_ngram_jaccard_join": OP3_SQL, "op4_warc": OP4_SQL}

@@ -6,11 +6,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cinderspan.llm import fingerprints, license_scan, lm_scores, ngram_join, packing, piece_tokens, quality_classifier, quality_rules, substring_dedup, warc
+from cinderspan.llm import fingerprints, license_scan, lm_scores, ngram_join, packing, piece_tokens, queries, quality_classifier, quality_rules, substring_dedup, warc
 
 SF = "/root/testdata/sf0.001"
 PASSAGE = " ".join(f"word{i}x{i * 7 % 13}" for i in range(60))
@@ -70,6 +71,18 @@ def test_ngram_join_nulls_and_empty(docs):
     assert ngram_join.ngram_jaccard_join(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_oracle(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "labels"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    found = con.execute(queries.oracle_sql()[name])
+    names, wanted = [c[0] for c in found.description], found.fetchall()
+    df = queries.queries()[name](spark, SF)
+    assert sorted(df.columns) == sorted(names) and wanted
+    assert Counter(tuple(r) for r in df.select(*names).collect()) == Counter(wanted)
+
+
 def test_trie_links_match_all_pairs():
     rng = np.random.default_rng(5)
     base = np.unique(rng.integers(0, 10_000, 60))
