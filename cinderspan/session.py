@@ -6,10 +6,13 @@ import os
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Folders that were made because a session had none, by application id.
 _OWN: dict[str, str] = {}
+#: Paths given out, by application id.
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -32,10 +35,16 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    A session on one machine (a local master) that has none gets a new folder. Anywhere else a folder of
+    one machine would lose rows, so a missing setting is refused.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
@@ -43,8 +52,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A path in the shared folder that nothing else uses; ``remove_written`` removes it."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_written(spark: SparkSession) -> int:
+    """Remove what this application has written to the shared folder, once no DataFrame over it is needed."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        system, root = fs.FileSystem.from_uri(path)
+        kind = system.get_file_info(root).type
+        if kind == fs.FileType.Directory:
+            system.delete_dir(root)
+        elif kind == fs.FileType.File:
+            system.delete_file(root)
+    return len(paths)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -61,10 +85,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or os.path.isabs(path)
-
-
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so that tasks can import it."""
     import zipfile
