@@ -18,35 +18,43 @@ from cinderspan.session import cut, table
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality_rules(docs).where("kept").select(*docs.columns)
+    """Documents that the quality rules keep: each row by itself, so repeats stay or go alike; null and empty texts go."""
+    return quality_rules(docs.select(F.struct("*").alias("doc"), "text", "lang")).where("kept").select("doc.*")
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts as good.
+    """Documents that the classifier predicts as good, each row by itself; null and empty texts get the score of the bias.
 
     It learns from the labelled rows of the whole table: among what the rules keep, the rejected
     class would hardly occur.
     """
     model = train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return quality_classifier(docs, model).where("predicted = 1").select(*docs.columns)
+    return quality_classifier(docs.select(F.struct("*").alias("doc"), "text"), model).where("predicted = 1").select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; rows without an id stay."""
-    named = ngram_jaccard_join(docs)
-    kept = named.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs.doc_id == F.col("_kept"), "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    """The document with the smallest id of each group of near copies.
+
+    Of rows that repeat both id and text one stays; rows of one id with different texts all stay
+    with their id. Rows without an id have no group, so of those only repeats of a text go.
+    """
+    kept = ngram_jaccard_join(docs).where("doc_id = component_id").select("doc_id").distinct()
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    left = docs.join(kept, ["doc_id"], "left_semi").select(*own).unionByName(docs.where("doc_id IS NULL"))
+    repeats = docs.groupBy("doc_id", F.xxhash64("text")).count().where("count > 1")
+    return left if repeats.isEmpty() else left.dropDuplicates(["doc_id", "text"])
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the repeated passages; ``n_chars`` follows the text."""
-    cut_docs = substring_dedup(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), "n_chars"))
-    return cut_docs.select(*docs.columns)
+    """Documents without the repeated passages; ``n_chars`` follows the text. No row goes; null texts and ids stay as they are."""
+    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")))
+    cut_docs = substring_dedup(docs.select("doc_id", "text", rest.alias("rest")))
+    new = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.coalesce(F.length("text").cast("bigint"), F.col("rest.n_chars"))}
+    return cut_docs.select(*(new.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 2048 tokens."""
+    """Pieces of the documents in sequences of at most 2048 tokens; a null text is a piece of the end id alone."""
     return best_fit_packing(docs)
 
 
@@ -58,7 +66,7 @@ STAGES = [
     ("best-fit packing", packing),
 ]
 
-#: Hash chains, training and packing have no SQL; tests hold the stages against brute force.
+#: Hash chains, training and packing have no SQL; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
