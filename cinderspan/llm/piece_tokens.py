@@ -7,12 +7,14 @@ two tokens' text alone gives these two tokens again. The table of last tokens is
 left to right and the ids are recovered backwards from the end.
 
 No piece spans a boundary between text and a following space mark, so a text is split there and
-each segment is encoded alone; a worker keeps a bounded table of segments it has met. Characters
+each segment is encoded alone; a worker keeps a table of segments it has met, bounded in number
+and in the length of a segment, and so in bytes. Characters
 outside the vocabulary become byte pieces. Nothing is normalised except that a text that isn't
 empty gets a leading space mark and spaces become marks.
 
 Null texts are empty: they have the end id alone and decode to the empty string. Repeated rows
-and null ids are encoded like any other.
+and null ids are encoded like any other. A text of any length is encoded whole. An empty table
+gives no rows. Only the two named columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ MARK = "▁"
 SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Segments and pairs that a worker keeps.
 HELD = 300_000
+#: The longest segment that is kept.
+LONGEST = 64
 
 
 class PieceVocabulary:
@@ -131,6 +135,8 @@ class PieceVocabulary:
             if known is None:
                 ids = self.ids(text)
                 known = " ".join([self.decimal[i] for i in ids]), len(ids), self.surface(ids)
+            if len(text) > LONGEST:
+                return known
             if len(self.segments) >= HELD // 2:
                 self.older, self.segments = self.segments, {}
             self.segments[text] = known
@@ -191,5 +197,5 @@ def piece_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 out |= {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
             yield pa.RecordBatch.from_pydict(out)
 
-    wanted = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    wanted = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return wanted.mapInArrow(work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids)

@@ -11,7 +11,9 @@ as one broadcast table of ``buckets`` floats.
 
 Null and empty texts have no features and get the score of the bias alone. A document with
 several labels counts with the largest; null labels are ignored. With no label, or labels of one
-class only, the model is the prior of what there is (0.5 without labels).
+class only, the model is the prior of what there is (0.5 without labels). Repeated rows score
+alike; training takes one of the rows of a repeated id. A text of any length is scored whole. An
+empty table gives no rows. Columns named ``score`` or ``predicted`` are replaced; others pass through.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinderspan.llm.arrow import texts
 
@@ -66,8 +69,8 @@ class SubwordModel:
         self.out = np.zeros((dim, 2), np.float32)
         self.bias = np.zeros(2, np.float32)
 
-    def fit(self, rows: list[tuple[str, int]], epochs: int = 4, rate: float = 0.3, seed: int = 1) -> SubwordModel:
-        """Gradient descent, one text at a time, with a falling rate; the classes weigh alike."""
+    def fit(self, rows: list[tuple[str, int]], epochs: int = 4, rate: float = 0.3, seed: int = 1, least: int = 3000) -> SubwordModel:
+        """Gradient descent, one text at a time, with a falling rate; the classes weigh alike. Few texts are gone over more often, ``least`` steps in all."""
         bags = []
         for text, label in rows:
             found, counts = np.unique(feature_rows(text, len(self.table)), return_counts=True)
@@ -75,7 +78,7 @@ class SubwordModel:
                 bags.append((found.astype(np.int32), (counts / counts.sum()).astype(np.float32), label))
         share = np.bincount([y for *_, y in bags], minlength=2) / max(1, len(bags))
         weight = np.where(share > 0, 0.5 / np.maximum(share, 1e-9), 0.0)
-        rng, steps = np.random.default_rng(seed), epochs * len(bags)
+        rng, steps = np.random.default_rng(seed), len(bags) * max(epochs, -(-least // max(1, len(bags))))
         for step in range(steps):
             if step % len(bags) == 0:
                 order = rng.permutation(len(bags))
@@ -132,11 +135,11 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", id_col: s
 
 def quality_classifier(docs: DataFrame, model: SubwordModel | float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``score`` (probability of label 1) and ``predicted`` (1 if it is 0.5 or more)."""
-    docs = docs.drop("score", "predicted")
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("score", "predicted")))
     if not isinstance(model, SubwordModel):
         return docs.withColumn("score", F.lit(float(model))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
     shared = docs.sparkSession.sparkContext.broadcast(model.margins())
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         margin, bias = shared.value
@@ -145,4 +148,4 @@ def quality_classifier(docs: DataFrame, model: SubwordModel | float, id_col: str
             out = {f: batch.column(f) for f in batch.schema.names} | {"score": pa.array(scores, pa.float64())}
             yield pa.RecordBatch.from_pydict(out)
 
-    return docs.mapInArrow(work, f"{fields}, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return docs.mapInArrow(work, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -13,8 +13,9 @@ pass their lower limits (a missing word distance counts as passed), or if either
 upper limit. A text whose language is null
 or has no reference is held against every reference, and the nearest counts.
 
-Null and empty texts have no words and fail the base rules. Repeated rows are judged alike.
-Extra columns pass through; result columns replace columns of the same name.
+Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. A text
+of any length is judged whole. An empty table gives no rows. Columns of the results' names are
+replaced; any others pass through, whatever they are called.
 """
 
 from __future__ import annotations
@@ -109,7 +110,9 @@ def quality_rules(
     out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"]
     own = [F.col(f"`{c}`") for c in docs.columns if c not in out]
     forms = ", ".join(f"'{x}', '{x.capitalize()}'" for x in sorted({w for k in WORD_REFERENCE.values() for w in k}))
-    t = docs.select(*own, F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    # The row travels as one struct, so that no column of it can clash with those made here.
+    tongue = F.lit(None).cast("string") if lang is None else F.col(f"`{lang}`")
+    t = docs.select(F.struct(*own).alias("_doc"), tongue.alias("_lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_t"))
     split = t.select(
         "*",
         F.expr(f"filter(split(_t, '{SPACE}+'), w -> w <> '')").alias("_w"),
@@ -141,7 +144,8 @@ def quality_rules(
         ).alias("_p"),
     )
     counted = placed.select(
-        *own,
+        "_doc",
+        "_lang",
         F.expr("cast(size(_w) AS bigint)").alias("n_words"),
         "word_chars",
         F.col("_c2").alias("n_symbols"),
@@ -151,11 +155,11 @@ def quality_rules(
         "_n",
         "_cw",
     )
-    tongue = None if lang is None else F.col(lang)
+    tongue = None if lang is None else F.col("_lang")
     # A filter on kept must not be pushed below this step, where its expression would be
     # expanded through every step before; a row number, not deterministic, holds it here.
     judged = counted.select(
-        *own,
+        "_doc",
         F.monotonically_increasing_id().alias("_row"),
         "n_words",
         "word_chars",
@@ -173,4 +177,4 @@ def quality_rules(
         & (classes <= class_limits[1])
         & (F.coalesce("word_distance", F.lit(0.0)) <= word_limits[1])
         & (F.col("_row") >= 0),
-    ).drop("_row")
+    ).select("_doc.*", *out)
