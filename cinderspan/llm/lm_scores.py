@@ -176,7 +176,7 @@ def sent(held: DataFrame, bits: int) -> DataFrame:
     return held.mapInArrow(work, "chunk long, bucket int, words binary, pairs binary, counts binary")
 
 
-def answers(parts: DataFrame) -> DataFrame:
+def answers(parts: DataFrame, bits: int) -> DataFrame:
     """The sums for each chunk of each bucket: ``chunk, bucket, payload``; a row without a chunk has the bucket's totals."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +199,8 @@ def answers(parts: DataFrame) -> DataFrame:
             arrays = [pa.array(columns[0], pa.int64()), pa.array([bucket] * len(out), pa.int32()), pa.array(columns[1], pa.binary())]
             yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(c, pa.int64()) for c in columns[2:])], ["chunk", "bucket", "payload", "distinct", "background", "target"])
 
-    dealt = parts.repartition("bucket").sortWithinPartitions("bucket")
+    # A bucket is a partition: by its number itself, so the largest task doesn't grow with the corpus.
+    dealt = parts.repartitionById(1 << bits, F.col("bucket")).sortWithinPartitions("bucket")
     return dealt.mapInArrow(work, "chunk long, bucket int, payload binary, distinct long, background long, target long")
 
 
@@ -216,7 +217,7 @@ def lm_scores(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_c
     held = cut(chunks(docs, marked, id_col, text_col), "lm-chunks")
     number = held.count()
     bits = max(1, int(number * CHUNK // BUCKET).bit_length())
-    back = cut(answers(sent(held, bits)), "lm-counts")
+    back = cut(answers(sent(held, bits), bits), "lm-counts")
     size, *totals = back.where("chunk IS NULL").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("distinct", "background", "target"))).first()
     size, target = size + 1, totals[1]
     scales = (target / totals[0] if totals[0] else 0.0, 1.0)
@@ -238,5 +239,5 @@ def lm_scores(docs: DataFrame, marked: DataFrame, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays([keys.ids.combine_chunks(), *arrays], ["doc_id", "n_words", "target_loss", "background_loss", "score"])
 
     both = held.unionByName(back.where("chunk IS NOT NULL").select("chunk", "bucket", "payload"))
-    dealt = both.repartition("chunk").sortWithinPartitions("chunk", "bucket")
+    dealt = both.repartition(max(number, held.sparkSession.sparkContext.defaultParallelism), "chunk").sortWithinPartitions("chunk", "bucket")
     return dealt.mapInArrow(work, "doc_id long, n_words long, target_loss double, background_loss double, score double")
