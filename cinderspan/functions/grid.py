@@ -85,6 +85,12 @@ def mercator_tile(lat: str, lon: str, metres: float) -> tuple[str, str]:
     return tuple(f"cast(floor({v} / {num(metres)}) as int)" for v in (x, y))
 
 
+def mercator_point(tx: str, ty: str, metres: float) -> tuple[str, str]:
+    """Longitude and latitude of a place in tiles."""
+    x, y = (f"({v} * {num(metres)} / {num(MERCATOR_R)})" for v in (tx, ty))
+    return f"degrees({x})", f"degrees(2 * atan(exp({y})) - {num(math.pi / 2)})"
+
+
 def ecef(lat: str, lon: str) -> tuple[str, str, str]:
     """Earth-centred coordinates on the ellipsoid, in metres."""
     nu = f"({num(A)} / sqrt(1 - {num(E2)} * sin(radians({lat})) * sin(radians({lat}))))"
@@ -104,10 +110,6 @@ def stable_fraction(text: str) -> str:
     return f"(cast(conv(substring(sha2({text}, 256), 1, 13), 16, 10) as double) / {num(16.0**13)})"
 
 
-def example_id(cell: str, anchor_text: str, horizon_s: int = 43200) -> str:
-    return f"sha2(concat_ws('\\u001f', '1', {cell}, {anchor_text}, '{horizon_s}'), 256)"
-
-
 def wind_uv(speed: str, direction: str) -> tuple[str, str]:
     return f"(-{speed} * sin(radians({direction})))", f"(-{speed} * cos(radians({direction})))"
 
@@ -117,9 +119,10 @@ def logit(p: str, eps: float = 1e-6) -> str:
     return f"ln({held} / (1 - {held}))"
 
 
-def evidence_score(brightness: str, count: str, age_h: str, anchor_h: float = 24.0) -> str:
+def evidence_score(brightness: str, count: str, age_h: str, anchor_h: float = 24.0, rounding: str = "bround") -> str:
+    """Rounded half to even; ``rounding`` is the engine's name for that."""
     return (
-        f"round({num(0.55)} * least(greatest({brightness} / {num(400)}, {num(0)}), {num(1)})"
+        f"{rounding}({num(0.55)} * least(greatest({brightness} / {num(400)}, {num(0)}), {num(1)})"
         f" + {num(0.25)} * least({num(1)}, ln(1 + {count}) / {num(math.log(11))})"
         f" + {num(0.2)} * greatest({num(0)}, 1 - {age_h} / {num(anchor_h)}), 6)"
     )

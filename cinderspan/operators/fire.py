@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderspan.functions import grid
+from cinderspan.operators.records import once_by_id
 
 
 def snapshots(detections: DataFrame, hours: int = 12) -> DataFrame:
@@ -40,7 +41,10 @@ def expand_candidates(detections: DataFrame, radius: int = 2, hours: int = 12, l
     first = F.expr(f"date_trunc('day', acquired_at + interval {lag_h} hours - interval 24 hours)")
     times = F.sequence(first, F.expr(f"acquired_at + interval {lookback_h} hours"), F.expr(f"interval {hours} hours"))
     offsets = F.array(*(F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in range(-radius, radius + 1) for dy in range(-radius, radius + 1)))
-    grown = seeds.select("x", "y", "acquired_at", F.explode(times).alias("snapshot")).select("snapshot", "acquired_at", "x", "y", F.explode(offsets).alias("o"))
+    seen = seeds.select("x", "y", "acquired_at", F.explode(times).alias("snapshot"))
+    # Cutoffs within the radius differ from the seed's own by minutes, so most snapshots are ruled out before the neighbourhood is made.
+    seen = seen.where(_gate(F.col("acquired_at"), cutoff(), lookback_h + 1, lag_h - 1))
+    grown = seen.select("snapshot", "acquired_at", "x", "y", F.explode(offsets).alias("o"))
     cells = grown.select("snapshot", "acquired_at", (F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y")).withColumn("anchor_at", cutoff())
     return cells.where(_gate(F.col("acquired_at"), F.col("anchor_at"), lookback_h, lag_h)).select("snapshot", "x", "y", "anchor_at").distinct()
 
@@ -48,13 +52,14 @@ def expand_candidates(detections: DataFrame, radius: int = 2, hours: int = 12, l
 def select_candidates(candidates: DataFrame, positives: DataFrame, cap: int = 2000) -> DataFrame:
     """Supported positives, and per snapshot the ``cap`` proxies with the lowest hash of snapshot and cell."""
     keys = ["snapshot", "x", "y"]
-    known = positives.select(*keys).distinct()
-    supported = candidates.join(known, keys, "left_semi").withColumn("target", F.lit(1))
-    proxies = candidates.join(known, keys, "left_anti").withColumn(
-        "rank", F.sha2(F.concat_ws("|", F.date_format("snapshot", "yyyy-MM-dd HH:mm:ss"), F.expr(grid.cell_id("x", "y"))), 256)
-    )
-    kept = proxies.withColumn("place", F.expr("row_number() over (partition by snapshot order by rank, x, y)")).where(F.col("place") <= cap)
-    return supported.unionByName(kept.drop("rank", "place").withColumn("target", F.lit(0)))
+    known = positives.select(*keys).distinct().withColumn("target", F.lit(1))
+    flagged = candidates.join(known, keys, "left").fillna(0, ["target"])
+    hashed = flagged.withColumn("rank", F.sha2(F.concat_ws("|", F.date_format("snapshot", "yyyy-MM-dd HH:mm:ss"), F.expr(grid.cell_id("x", "y"))), 256))
+    # A snapshot's proxies are ranked in salts first, so only the best of each salt meet in one task; positives stay in theirs.
+    place = "row_number() over (partition by snapshot, target, lane order by rank, x, y)"
+    best = hashed.withColumn("lane", F.pmod(F.xxhash64("x", "y"), F.lit(16))).withColumn("place", F.expr(place)).where((F.col("target") == 1) | (F.col("place") <= cap))
+    kept = best.withColumn("lane", F.when(F.col("target") == 1, F.col("lane")).otherwise(-1)).withColumn("place", F.expr(place)).where((F.col("target") == 1) | (F.col("place") <= cap))
+    return kept.drop("rank", "lane", "place")
 
 
 def unscored_positives(candidates: DataFrame, positives: DataFrame) -> DataFrame:
@@ -66,13 +71,14 @@ def fire_state(cells: DataFrame, detections: DataFrame, lookback_h: int = 24, la
     """Centre and 3 x 3 evidence for every row of ``cells``; nulls, not zeros, where there is none.
 
     The example side is exploded to its nine cells and met with detections on the cell; one
-    aggregation per example follows. Detections are distinct by id.
+    aggregation per example follows. Detections are distinct by id; rows of one id that differ stop the job.
     """
     keys = ["x", "y", "anchor_at"]
     around = F.array(*(F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)))
     examples = cells.select(*keys).distinct()
     near = examples.select(*keys, F.explode(around).alias("o")).select(*keys, (F.col("x") + F.col("o.dx")).alias("nx"), (F.col("y") + F.col("o.dy")).alias("ny"))
-    d = detections.select(F.col("x").alias("nx"), F.col("y").alias("ny"), "detection_id", "acquired_at", "bright_ti4", "product").dropDuplicates(["detection_id"])
+    d = detections.select(F.col("x").alias("nx"), F.col("y").alias("ny"), "detection_id", "acquired_at", "bright_ti4", "product")
+    d = once_by_id(d, "detection_id")
     seen = near.join(d, ["nx", "ny"]).where(_gate(F.col("acquired_at"), F.col("anchor_at"), lookback_h, lag_h))
     centre = (F.col("nx") == F.col("x")) & (F.col("ny") == F.col("y"))
     age = (F.unix_micros("anchor_at") - F.unix_micros(F.max("acquired_at"))) / 3.6e9
@@ -92,8 +98,9 @@ def fire_state(cells: DataFrame, detections: DataFrame, lookback_h: int = 24, la
 
 
 def current_state(detections: DataFrame, now: Column, youngest_h: int = 3, oldest_h: int = 24) -> DataFrame:
-    """Per cell at ``now``: distinct detections aged within the window, products, brightness, age."""
-    fresh = detections.where(_gate(F.col("acquired_at"), now, oldest_h, youngest_h)).dropDuplicates(["product", "latitude", "longitude", "acquired_at"])
+    """Per cell at ``now``: distinct detections aged within the window, products, brightness, age; of repeats the brightest counts."""
+    fresh = detections.where(_gate(F.col("acquired_at"), now, oldest_h, youngest_h))
+    fresh = fresh.groupBy("product", "x", "y", "latitude", "longitude", "acquired_at").agg(F.max("bright_ti4").alias("bright_ti4"))
     return fresh.groupBy("x", "y").agg(
         F.count("*").alias("n"),
         F.countDistinct("product").alias("platforms"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinderspan.functions import grid
+from cinderspan.operators.evaluate import intensity
 
 
 def neighbours(cells: DataFrame, radius: int, keep_centre: bool = True) -> DataFrame:
@@ -79,3 +80,56 @@ def seed_lineage(cells: DataFrame, detections: DataFrame, radius: int = 2, retai
     return ids.select(
         "snapshot", "x", "y", F.size("ids").alias("n_seeds"), F.slice("ids", 1, retained).alias("seeds"), (F.size("ids") > retained).alias("truncated"), F.sha2(F.array_join("ids", "\x1f"), 256).alias("seeds_sha256")
     )
+
+
+def observed_state(cells: DataFrame, key: str = "scenario", youngest_h: float = 3, oldest_h: float = 24) -> DataFrame:
+    """Active cells of observed centres (``key, x, y, n, brightness, age_h``): seen, and of an age that counts; brightest per cell."""
+    own = cells.where((F.col("n") > 0) & F.col("age_h").between(youngest_h, oldest_h))
+    return own.groupBy(key, "x", "y").agg(F.max(intensity("brightness")).alias("intensity"), F.min("age_h").alias("age_h"))
+
+
+def frontier_features(frontier: DataFrame, active: DataFrame, key: str = "scenario", youngest_h: float = 3, oldest_h: float = 24) -> DataFrame:
+    """Local features of frontier cells from active ones (``intensity, age_h, detections, platforms``) in their 3 x 3 block.
+
+    Only evidence of an age that counts is seen. Brightness is that of the intensity, its mean weighted by
+    detections; without evidence it is null and counts are zero.
+    """
+    seen = active.where(F.col("age_h").between(youngest_h, oldest_h)).withColumn("bright", 305 + 62 * F.col("intensity"))
+    near = neighbours(seen.select(key, "x", "y", "bright", "age_h", "detections", "platforms"), 1)
+    stats = near.groupBy(key, "x", "y").agg(
+        F.sum("detections").alias("local_count"), F.max("bright").alias("local_max"), (F.sum(F.col("bright") * F.col("detections")) / F.sum("detections")).alias("local_mean"),
+        F.max("platforms").alias("local_platforms"), F.min("age_h").alias("local_hours_since"), F.count("*").alias("local_active_cells"),
+    )
+    met = frontier.select(key, "x", "y").join(stats, [key, "x", "y"], "left")
+    return met.fillna(0, ["local_count", "local_platforms", "local_active_cells"]).withColumn("local_has", (F.col("local_active_cells") > 0).cast("int"))
+
+
+def pair_report(candidates: DataFrame, domain: DataFrame, key: str = "scenario", target: str = "target") -> DataFrame:
+    """Per pair of steps: candidates in the next domain, domain rows not reached, candidates outside, and the positives of each."""
+    met = candidates.select(key, "x", "y").distinct().withColumn("_c", F.lit(1)).join(domain.select(key, "x", "y", F.col(target).alias("_y")), [key, "x", "y"], "full")
+    here, there = F.col("_c").isNotNull(), F.col("_y").isNotNull()
+    return met.groupBy(key).agg(
+        F.count_if(here & there).alias("matched"), F.count_if(here & there & (F.col("_y") == 1)).alias("matched_positives"),
+        F.count_if(~here & there).alias("unreached"), F.count_if(~here & there & (F.col("_y") == 1)).alias("unreached_positives"), F.count_if(here & ~there).alias("outside"),
+    )
+
+
+def fragments(sequences: DataFrame, key: list[str], steps: int = 8, fractions: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Places of sequences (``place`` from 1) in pieces of ``steps``: piece, offset, and the share of predicted state there (none at 0)."""
+    offset = F.col("place") - 1
+    rise = F.least(F.lit(len(fractions) - 1), F.floor((F.col("offset") - 1) * len(fractions) / (steps - 1)).cast("int"))
+    placed = sequences.select("*", F.floor(offset / steps).cast("int").alias("fragment"), (offset % steps).cast("int").alias("offset"))
+    return placed.withColumn("predicted_fraction", F.when(F.col("offset") > 0, F.element_at(F.array(*map(F.lit, fractions)), rise + 1)))
+
+
+def capped_sample(rows: DataFrame, id_col: str, observed: int, share: float = 0.5, seed: str = "0") -> DataFrame:
+    """The rows with the lowest hash, at most a share of the observed ones: a sample that comes out the same again."""
+    rank = F.expr(grid.stable_fraction(f"concat('{seed}:subset:', cast({id_col} as string))"))
+    return rows.withColumn("_rank", rank).orderBy("_rank", id_col).limit(int(observed * share)).drop("_rank")
+
+
+def cumulative(cells: DataFrame, key: str, step: str, steps: DataFrame) -> DataFrame:
+    """Distinct cells seen up to each step, as counts: from each cell's first step, so no set grows."""
+    first = cells.groupBy(key, "x", "y").agg(F.min(step).alias(step)).groupBy(key, step).agg(F.count("*").alias("n_new"))
+    met = steps.select(key, step).distinct().join(first, [key, step], "left").fillna(0, ["n_new"])
+    return met.withColumn("n_seen", F.expr(f"sum(n_new) over (partition by {key} order by {step})"))

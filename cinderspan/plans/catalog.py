@@ -155,7 +155,7 @@ _TX, _TY = grid.mercator_tile("latitude", "longitude", 50_000.0)
 @query(
     f"""with d as (select *, {_TX} as tx, {_TY} as ty, cast(ceil((epoch_us(acquired_at)//1000000 + 10800) / 21600.0) as bigint) as r0, cast(floor((epoch_us(acquired_at)//1000000 + 86400) / 21600.0) as bigint) as r1 from {adapters.oracle('detections')} x),
     t as (select run, tx, ty, count(*) as n, max(bright_ti4) as max_bright, max(epoch_us(acquired_at)//1000000) as latest, max_by(detection_id, row(bright_ti4, detection_id)) as representative from d, range(r0, r1 + 1) g(run) group by 1, 2, 3),
-    s as (select *, (run * 21600 - latest) / 3600e0 as age_h from t), z as (select *, {grid.evidence_score('max_bright', 'n', 'age_h')} as score from s),
+    s as (select *, (run * 21600 - latest) / 3600e0 as age_h from t), z as (select *, {grid.evidence_score('max_bright', 'n', 'age_h', rounding='round_even')} as score from s),
     k as (select *, row_number() over (partition by run order by score desc, tx, ty) as place from z)
     select run, tx, ty, n, round(max_bright, 6) as max_bright, representative, round(age_h, 6) as age_h, score, place, case when place > 32 then 'per-run-tile-cap' else 'selected' end as reason from k"""
 )
@@ -324,7 +324,7 @@ def redacted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from cinderspan.plans import transitions  # noqa: F401  (adds its queries)
+    from cinderspan.plans import measures, records, transitions  # noqa: F401  (they add their queries)
 
     return dict(_QUERIES)
 
