@@ -165,10 +165,11 @@ def common(a: bytes, b: bytes) -> int:
     return next(i for i in range(n) if a[i] != b[i])
 
 
-def extensions(joined: DataFrame) -> DataFrame:
+def extensions(joined: DataFrame, text_col: str) -> DataFrame:
     """One row per text whose runs go on beyond their chunks: ``doc_id, tag, ext`` (array of at, side, n).
 
-    ``joined`` has ``doc_id, tag, text, spans``.
+    ``joined`` has ``row`` (with the text), ``doc_id, tag, spans``. It is taken as it is, rows without spans
+    too: a filter or a choice of columns here would shuffle the texts a second time.
     """
     names = ["doc", "tag", "at", "side", "key", "kept", "beyond"]
 
@@ -176,8 +177,11 @@ def extensions(joined: DataFrame) -> DataFrame:
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
         for batch in batches:
             rows = []
-            for doc_id, tag, text, own in zip(*(c.to_pylist() for c in batch.columns)):
-                rows += [(doc_id, tag, *b) for b in borders((text or "").encode(), own)]
+            column = batch.column("row").field(text_col)
+            for i, own in enumerate(batch.column("spans").to_pylist()):
+                if own:
+                    key = batch.column("doc_id")[i].as_py(), batch.column("tag")[i].as_py()
+                    rows += [(*key, *b) for b in borders((column[i].as_py() or "").encode(), own)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -188,7 +192,7 @@ def extensions(joined: DataFrame) -> DataFrame:
             columns = [pa.array(doc + first, pa.int64()), pa.array(tag + first_tag, pa.int64()), pa.array(at + first_at, pa.int32()), pa.array(side * 2, pa.int32()), pa.array(n * 2, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, ["doc", "tag", "at", "side", "n"])
 
-    found = joined.where("spans IS NOT NULL").mapInArrow(edges, "doc long, tag long, at int, side int, key long, kept boolean, beyond binary")
+    found = joined.mapInArrow(edges, "doc long, tag long, at int, side int, key long, kept boolean, beyond binary")
     # Each key has one keeper, so a frequent key makes no more rows than it has holders, and the join may be split.
     # (Rows that repeat id and text keep alike; one of them is enough.)
     keepers = found.where("kept").select("key", "side", *(F.col(c).alias(f"first_{c}") for c in ("doc", "tag", "at", "beyond"))).dropDuplicates(["key", "side"])
@@ -261,7 +265,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # The row travels as one struct, so that no column of it can clash with the operator's own.
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"), F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), tag.alias("tag"))
     joined = keyed.join(spans, ["doc_id", "tag"], "left")
-    found = extensions(joined.select("doc_id", "tag", F.col("row").getField(text_col).cast("string").alias("text"), "spans"))
+    found = extensions(joined, text_col)
     joined = joined.join(found, ["doc_id", "tag"], "left").select("row", "spans", "ext")
     kinds = {"removed_bytes": pa.int64(), "n_passages": pa.int64(), "passage_words": pa.int64(), "first_doc_ids": pa.list_(pa.int64())}
 
