@@ -71,11 +71,24 @@ class SubwordModel:
 
     def fit(self, rows: list[tuple[str, int]], epochs: int = 4, rate: float = 0.3, seed: int = 1, least: int = 3000) -> SubwordModel:
         """Gradient descent, one text at a time, with a falling rate; the classes weigh alike. Few texts are gone over more often, ``least`` steps in all."""
-        bags = []
+        bags: list[tuple[np.ndarray, np.ndarray, int]] = []
+        fresh: list[tuple[np.ndarray, np.ndarray, int]] = []
+
+        def settle() -> None:
+            """Texts' arrays as views of large ones, which the driver gets back whole when training ends."""
+            ends = np.cumsum([len(f) for f, *_ in fresh])[:-1]
+            parts = [np.split(np.concatenate([b[k] for b in fresh]), ends) for k in (0, 1)]
+            bags.extend(zip(*parts, [y for *_, y in fresh]))
+            fresh.clear()
+
         for text, label in rows:
             found, counts = np.unique(feature_rows(text, len(self.table)), return_counts=True)
             if len(found):
-                bags.append((found.astype(np.int32), (counts / counts.sum()).astype(np.float32), label))
+                fresh.append((found.astype(np.int32), (counts / counts.sum()).astype(np.float32), label))
+            if len(fresh) >= 1500:
+                settle()
+        if fresh:
+            settle()
         share = np.bincount([y for *_, y in bags], minlength=2) / max(1, len(bags))
         weight = np.where(share > 0, 0.5 / np.maximum(share, 1e-9), 0.0)
         rng, steps = np.random.default_rng(seed), len(bags) * max(epochs, -(-least // max(1, len(bags))))
