@@ -1,4 +1,4 @@
-"""Streaming jobs give the rows of their batch twins."""
+"""Detection windows and ledger state as streams give the rows of their batch twins; sessions and rolling state run on batch frames."""
 
 from cinderspan.sources import adapters
 from cinderspan.streaming import jobs
