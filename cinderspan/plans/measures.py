@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cinderspan.functions import grid
 from cinderspan.operators import evaluate, frontier, incidents, ledger, release, spatial, views, weather
-from cinderspan.plans.catalog import D_BINS, incident_groups, query, rounded
+from cinderspan.plans.catalog import _SQL, D_BINS, incident_groups, query, rounded
 from cinderspan.plans.records import duck, made
 from cinderspan.plans.transitions import D_FRONTIER, _frontier, _state
 from cinderspan.session import shared_path, table
@@ -140,7 +140,10 @@ D_GROUPS = f"""(with recursive boxes as (select fire_id, min(x) as x0, max(x) as
   reach as (select fire_id as a, fire_id as g from boxes union select l.b, r.g from reach r join links l on l.a = r.a) select a as fire_id, min(g) as group_id from reach group by 1)"""
 
 
-@query(f"select * from {D_GROUPS} g")
+_SQL["incident_groups"] = f"select * from {D_GROUPS} g"
+
+
+@query(_SQL["incident_groups"])
 def incident_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fires within 20 km of each other as connected groups."""
     return incident_groups(spark, sf_dir)
