@@ -5,20 +5,22 @@ and its neighbouring word pairs, hashed into ``buckets`` rows of an embedding ta
 the mean of its features' vectors; a softmax layer on top gives the two classes.
 
 Training reads at most ``per_class`` labelled rows of each label, chosen by the smallest hash of
-their ids: a bounded sample, so it runs on the driver in bounded memory. Scoring is a map over
+their ids: a bounded sample, so it runs on the driver. It keeps the sample's texts and the table, and makes
+a text's features anew, block by block, whenever it comes to it. Scoring is a map over
 all texts with the model's per-feature scores (embedding times output layer: the mean is linear)
 as one broadcast table of ``buckets`` floats.
 
 Null and empty texts have no features and get the score of the bias alone. A document with
 several labels counts with the largest; null labels are ignored. With no label, or labels of one
 class only, the model is the prior of what there is (0.5 without labels). Repeated rows score
-alike; training takes one of the rows of a repeated id. A text of any length is scored whole. An
+alike; training takes one of the rows of a repeated id. A text of any length is scored whole, by blocks. An
 empty table gives no rows. Columns named ``score`` or ``predicted`` are replaced; others pass through.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,21 +32,18 @@ from pyspark.sql import types as T
 from cinderspan.llm.arrow import texts
 
 BUCKETS = 1 << 18
+#: Words whose features are found together.
+BLOCK = 20_000
 K = 0x9E3779B97F4A7C15
 
 
-def feature_rows(text: str, buckets: int = BUCKETS) -> np.ndarray:
-    """Table rows of all words, word pairs and byte n-grams of ``text``, repeats included.
-
-    A word is framed by one space at each end; an n-gram may hold a frame but not cross it.
-    """
-    words = text.encode().split()
-    if not words:
-        return np.empty(0, np.int64)
+def _rows(words: list[bytes], after: int | None, buckets: int) -> np.ndarray:
+    """Table rows of ``words``, of their pairs and, with the hash of the word ``after`` which they stand, of that pair."""
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     raw = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
     frame, codes = raw == 32, raw.astype(np.uint64)
-    parts = [h, h[:-1] * np.uint64(K) + h[1:]]
+    chain = h if after is None else np.concatenate([np.array([after], np.uint64), h])
+    parts = [h, chain[:-1] * np.uint64(K) + chain[1:]]
     for n in (3, 4, 5):
         stop = len(raw) - n + 1
         if stop < 1:
@@ -60,6 +59,33 @@ def feature_rows(text: str, buckets: int = BUCKETS) -> np.ndarray:
     return ((found ^ (found >> np.uint64(32))) * np.uint64(K) >> np.uint64(20) & np.uint64(buckets - 1)).astype(np.int64)
 
 
+def feature_blocks(text: str, buckets: int = BUCKETS, size: int = BLOCK) -> Iterator[np.ndarray]:
+    """Table rows of all words, word pairs and byte n-grams of ``text``, repeats included, ``size`` words at a time.
+
+    A word is framed by one space at each end; an n-gram may hold a frame but not cross it. So blocks of
+    words have between them just what the whole text has, in memory that only a single long word can raise.
+    """
+    words = text.encode().split()
+    for at in range(0, len(words), size):
+        yield _rows(words[at : at + size], xxhash.xxh3_64_intdigest(words[at - 1]) if at else None, buckets)
+
+
+def feature_shares(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """The different table rows of ``text``, ascending, and the share of each."""
+    blocks = list(islice(feature_blocks(text, buckets), 2))
+    if not blocks:
+        return np.empty(0, np.int64), np.empty(0, np.float32)
+    if len(blocks) == 1:
+        found, counts = np.unique(blocks[0], return_counts=True)
+    else:
+        total = np.zeros(buckets, np.int64)
+        for block in feature_blocks(text, buckets):
+            total += np.bincount(block, minlength=buckets)
+        found = np.flatnonzero(total)
+        counts = total[found]
+    return found, (counts / counts.sum()).astype(np.float32)
+
+
 class SubwordModel:
     """Embedding table, output layer and bias."""
 
@@ -70,32 +96,19 @@ class SubwordModel:
         self.bias = np.zeros(2, np.float32)
 
     def fit(self, rows: list[tuple[str, int]], epochs: int = 4, rate: float = 0.3, seed: int = 1, least: int = 3000) -> SubwordModel:
-        """Gradient descent, one text at a time, with a falling rate; the classes weigh alike. Few texts are gone over more often, ``least`` steps in all."""
-        bags: list[tuple[np.ndarray, np.ndarray, int]] = []
-        fresh: list[tuple[np.ndarray, np.ndarray, int]] = []
-
-        def settle() -> None:
-            """Texts' arrays as views of large ones, which the driver gets back whole when training ends."""
-            ends = np.cumsum([len(f) for f, *_ in fresh])[:-1]
-            parts = [np.split(np.concatenate([b[k] for b in fresh]), ends) for k in (0, 1)]
-            bags.extend(zip(*parts, [y for *_, y in fresh]))
-            fresh.clear()
-
-        for text, label in rows:
-            found, counts = np.unique(feature_rows(text, len(self.table)), return_counts=True)
-            if len(found):
-                fresh.append((found.astype(np.int32), (counts / counts.sum()).astype(np.float32), label))
-            if len(fresh) >= 1500:
-                settle()
-        if fresh:
-            settle()
-        share = np.bincount([y for *_, y in bags], minlength=2) / max(1, len(bags))
+        """Gradient descent, one text at a time, with a falling rate; the classes weigh alike. Few texts are gone over more often, ``least`` steps in all.
+
+        A text's features are found anew at each step: kept, they would take many times the texts' memory.
+        """
+        rows = [(t, y) for t, y in rows if t.encode().split(None, 1)]
+        share = np.bincount([y for _, y in rows], minlength=2) / max(1, len(rows))
         weight = np.where(share > 0, 0.5 / np.maximum(share, 1e-9), 0.0)
-        rng, steps = np.random.default_rng(seed), len(bags) * max(epochs, -(-least // max(1, len(bags))))
+        rng, steps = np.random.default_rng(seed), len(rows) * max(epochs, -(-least // max(1, len(rows))))
         for step in range(steps):
-            if step % len(bags) == 0:
-                order = rng.permutation(len(bags))
-            found, shares, label = bags[order[step % len(bags)]]
+            if step % len(rows) == 0:
+                order = rng.permutation(len(rows))
+            text, label = rows[order[step % len(rows)]]
+            found, shares = feature_shares(text, len(self.table))
             vectors = self.table[found]
             mean = shares @ vectors
             logits = mean @ self.out + self.bias
@@ -116,8 +129,11 @@ class SubwordModel:
 
 
 def score_text(text: str, margin: np.ndarray, bias: float) -> float:
-    rows = feature_rows(text, len(margin))
-    logit = bias + (float(margin[rows].mean(dtype=np.float64)) if len(rows) else 0.0)
+    total, n = 0.0, 0
+    for rows in feature_blocks(text, len(margin)):
+        total += float(margin[rows].sum(dtype=np.float64))
+        n += len(rows)
+    logit = bias + (total / n if n else 0.0)
     return float(1 / (1 + np.exp(-logit)))
 
 

@@ -350,6 +350,18 @@ def test_classifier(spark, docs):
     assert {r.score for r in quality_classifier.quality_classifier(docs, model).collect()} <= {0.5, 1.0}
 
 
+def test_features_by_blocks_are_those_of_the_whole_text():
+    for text in ("", " \t", "one", "a b", LONG, " ".join(f"w{i * i % 83}é" for i in range(50))):
+        whole = [r for rows in quality_classifier.feature_blocks(text, 1 << 12, 10**6) for r in rows]
+        for size in (1, 2, 7):
+            assert Counter(r for rows in quality_classifier.feature_blocks(text[:4000], 1 << 12, size) for r in rows) == Counter(
+                r for rows in quality_classifier.feature_blocks(text[:4000], 1 << 12, 10**6) for r in rows
+            )
+        found, shares = quality_classifier.feature_shares(text, 1 << 12)
+        counts = Counter(whole)
+        assert found.tolist() == sorted(counts) and np.allclose(shares, [counts[r] / len(whole) for r in sorted(counts)])
+
+
 def brute_rules(text):
     space = r"[\x20\x09-\x0D]+"
     words = [w for w in re.split(space, text or "") if w]
