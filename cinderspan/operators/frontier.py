@@ -31,6 +31,29 @@ def frontier_candidates(active: DataFrame, burned: DataFrame, key: str = "scenar
     return near.join(taken, cell, "left_anti")
 
 
+def strongest_candidates(front: DataFrame, key: str = "scenario", most: int = 5000, salts: int = 32) -> DataFrame:
+    """Per scenario the ``most`` candidates with the strongest neighbours, ties by cell id, with their ``place``.
+
+    Shares of a scenario are ranked first, so that none is one task whole; at most ``salts * most`` rows
+    of a scenario meet in the last one.
+    """
+    salted = front.withColumn("_s", F.expr(f"pmod(hash(x, y), {salts})")).withColumn("_id", F.expr(grid.cell_id("x", "y")))
+    order = "order by neighbour_intensity desc, _id"
+    best = salted.withColumn("_p", F.expr(f"row_number() over (partition by {key}, _s {order})")).where(F.col("_p") <= most)
+    return best.withColumn("place", F.expr(f"row_number() over (partition by {key} {order})")).where(F.col("place") <= most).drop("_s", "_id", "_p")
+
+
+def frontier_rows(rows: DataFrame, flag: str = "firms_center_has_detection") -> DataFrame:
+    """Rows whose centre has no detection; a flag that is neither 0 nor 1 stops the job."""
+    binary = F.col(flag).isin(0, 1)
+    return rows.where(F.when(F.coalesce(binary, F.lit(False)), F.col(flag) == 0).otherwise(F.raise_error(F.lit(f"{flag} must be 0 or 1"))))
+
+
+def seeds_from_points(points: DataFrame, key: str = "scenario") -> DataFrame:
+    """First state of points (``key, x, y, intensity``): the strongest of each cell."""
+    return points.groupBy(key, "x", "y").agg(F.max("intensity").alias("intensity"))
+
+
 def capped_ignitions(scored: DataFrame, active: DataFrame, key: str = "scenario", threshold: float = 0.05, growth: float = 0.5, most: int = 128) -> DataFrame:
     """Candidates at or above ``threshold``: per scenario min(most, ceil(growth * active)), likeliest first.
 

@@ -58,6 +58,14 @@ def gap_sequences(times: DataFrame, key: list[str], time: str, hours: int = 12)
     return numbered.withColumn("place", F.expr(f"row_number() over (partition by {', '.join([*key, 'sequence'])} order by {time})"))
 
 
+def regular_sequences(times: DataFrame, key: list[str], time: str, hours: int = 12, until: str | None = None) -> DataFrame:
+    """``gap_sequences`` of the times before ``until``; a time off the grid of ``hours`` stops the job."""
+    held = times.where(F.col(time) < F.lit(until).cast("timestamp")) if until else times
+    on_grid = F.unix_micros(time) % (hours * 3_600_000_000) == 0
+    checked = F.when(F.coalesce(on_grid, F.lit(False)), F.col(time)).otherwise(F.raise_error(F.concat(F.lit("irregular time: "), F.col(time).cast("string"))))
+    return gap_sequences(held.withColumn(time, checked), key, time, hours)
+
+
 def chronological_split(df: DataFrame, time: str, share: float = 0.8) -> DataFrame:
     """``df`` with ``dataset_split``: the first share of the distinct times trains, at least one.
 

@@ -324,7 +324,7 @@ def redacted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from cinderspan.plans import measures, records, transitions  # noqa: F401  (they add their queries)
+    from cinderspan.plans import measures, readers, records, transitions  # noqa: F401  (they add their queries)
 
     return dict(_QUERIES)
 
