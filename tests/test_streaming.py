@@ -1,4 +1,4 @@
-"""Detection windows and ledger state as streams give the rows of their batch twins; sessions and rolling state run on batch frames."""
+"""Every job as a stream gives the rows of its batch twin."""
 
 from cinderspan.sources import adapters
 from cinderspan.streaming import jobs
@@ -35,3 +35,15 @@ def test_sessions_and_rolling_state(spark):
     n = d.count()
     assert jobs.activity_sessions(d).groupBy().sum("n").first()[0] == n
     assert jobs.rolling_state(d).groupBy().sum("n").first()[0] == 8 * n
+
+
+def test_rolling_state_as_a_stream(spark, tmp_path):
+    stream, batch = stream_of(spark, adapters.located(spark, SF), tmp_path, "acquired_at")
+    found = {tuple(r) for r in run(spark, jobs.rolling_state(stream, late="60 days"), tmp_path, "complete").collect()}
+    assert found == {tuple(r) for r in jobs.rolling_state(batch).collect()} and found
+
+
+def test_sessions_as_a_stream(spark, tmp_path):
+    stream, batch = stream_of(spark, adapters.located(spark, SF), tmp_path, "acquired_at")
+    found = {tuple(r) for r in run(spark, jobs.activity_sessions(stream, late="60 days"), tmp_path, "complete").collect()}
+    assert found == {tuple(r) for r in jobs.activity_sessions(batch).collect()} and found
