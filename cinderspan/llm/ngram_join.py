@@ -149,21 +149,26 @@ def _thinned(large: DataFrame, block: int, rounds: int, percent: int) -> tuple[D
             "njoin-scored",
         )
         links.append(scored.where("place = 'near' AND node <> pivot").select(F.col("node").alias("src"), F.col("pivot").alias("dst")))
-        sizes = scored.groupBy("gid").agg(*(F.ceil(F.count_if(F.col("place") == x) / block).cast("int").alias(x) for x in ("near", "mid")), F.count_if(F.col("place") != "near").alias("left"))
+        # Written, as a row per group: the plans that follow then join two tables, however many rounds there were.
+        sizes = cut(
+            scored.groupBy("gid").agg(*(F.ceil(F.count_if(F.col("place") == x) / block).cast("int").alias(x) for x in ("near", "mid")), F.count_if(F.col("place") != "near").alias("left")),
+            "njoin-sizes",
+        )
         placed = scored.join(sizes, "gid")
         gid = lambda near, mid: F.concat_ws("/", "gid", F.lit(f"p{k}"), near.cast("string"), mid.cast("string"))
-        own_near, own_mid = F.pmod(salt, "near"), F.pmod(salt, "mid")
-        crossed = placed.where("near > 0 AND mid > 0")
-        blocks.append(
-            crossed.where("place = 'near'").withColumn("m", F.explode(F.expr("sequence(0, mid - 1)"))).select(gid(own_near, F.col("m")).alias("gid"), "node", F.col("pivot").alias("label"), "keys")
-        )
-        blocks.append(
-            crossed.where("place = 'mid'").withColumn("m", F.explode(F.expr("sequence(0, near - 1)"))).select(gid(F.col("m"), own_mid).alias("gid"), "node", F.col("node").alias("label"), "keys")
+        own_near, own_mid = (F.pmod(salt, F.greatest(F.col(x), F.lit(1))) for x in ("near", "mid"))
+        none = F.expr("cast(array() AS array<string>)")
+        crossed = (
+            F.when(F.expr("place = 'near' AND mid > 0"), F.transform(F.expr("sequence(0, mid - 1)"), lambda m: gid(own_near, m)))
+            .when(F.expr("place = 'mid' AND near > 0"), F.transform(F.expr("sequence(0, near - 1)"), lambda m: gid(m, own_mid)))
+            .otherwise(none)
         )
-        remaining = placed.where("place <> 'near'").select(F.concat_ws("/", "gid", F.lit(f"r{k}")).alias("gid"), "node", "keys", "left")
-        blocks.append(remaining.where(F.col("left") <= block).select("gid", "node", F.col("node").alias("label"), "keys"))
-        rest = remaining.where(F.col("left") > block).drop("left")
-        if rest.isEmpty():
+        left = F.concat_ws("/", "gid", F.lit(f"r{k}"))
+        last = F.when((F.col("place") != "near") & (F.col("left") <= block), F.array(left)).otherwise(none)
+        label = F.when(F.col("place") == "near", F.col("pivot")).otherwise(F.col("node"))
+        blocks.append(placed.select(F.explode(F.concat(crossed, last)).alias("gid"), "node", label.alias("label"), "keys"))
+        rest = placed.where((F.col("place") != "near") & (F.col("left") > block)).select(left.alias("gid"), "node", "keys")
+        if sizes.where(F.col("left") > block).isEmpty():
             break
     else:
         n = rest.groupBy("gid").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
