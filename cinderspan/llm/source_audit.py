@@ -28,8 +28,6 @@ named columns are read.
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,44 +36,57 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinderspan.llm.arrow import texts
 from cinderspan.session import cut
 
 SCALE = 1_000_000_000
-#: Letters of ASCII, and all that is not ASCII.
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
-#: Different terms of groups that a task adds up before it passes them on.
-HELD = 200_000
+#: What a byte of a text is in its terms: letters of ASCII small, all that is not ASCII as it is, the rest a space.
+TERM_BYTES = np.array([b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)], np.uint8)
+#: Bytes of texts whose terms a task adds up before it passes them on.
+HELD = 24 << 20
+
+
+def chunk_counts(lang: pa.Array, source: pa.Array, text: pa.Array) -> pa.RecordBatch:
+    """``lang, source, term, n, docs`` of some documents, each term of a group once."""
+    lang, source = lang.dictionary_encode(), source.dictionary_encode()
+    group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+    # The texts' bytes, with a space for all that is in no term.
+    _, offsets, data = text.buffers()
+    spaced = text
+    if data is not None and data.size:
+        spaced = pa.LargeStringArray.from_buffers(len(text), offsets, pa.py_buffer(TERM_BYTES[np.frombuffer(data, np.uint8)]), None, 0, text.offset)
+    words = pc.ascii_split_whitespace(spaced)
+    flat = words.flatten().dictionary_encode()
+    size = len(flat.dictionary)
+    found = np.repeat(np.arange(len(text)), pc.list_value_length(words).to_numpy()) * size + flat.indices.to_numpy()
+    blank = pc.index(flat.dictionary, pa.scalar("", flat.dictionary.type)).as_py()
+    found, n = np.unique(found, return_counts=True)
+    doc, term = np.divmod(found, max(1, size))
+    real = term != blank
+    key, place = np.unique(group[doc[real]] * size + term[real], return_inverse=True)
+    own, term = np.divmod(key, max(1, size))
+    at = np.divmod(own, max(1, len(source.dictionary)))
+    columns = [lang.dictionary.take(pa.array(at[0])), source.dictionary.take(pa.array(at[1])), flat.dictionary.take(pa.array(term)).cast(pa.string())]
+    sums = [np.bincount(place, weights=n[real], minlength=len(key)).astype(np.int64), np.bincount(place, minlength=len(key))]
+    return pa.RecordBatch.from_arrays([*columns, *map(pa.array, sums)], ["lang", "source", "term", "n", "docs"])
 
 
 def counted(docs: DataFrame) -> DataFrame:
     """``lang, source, term, n, docs``: occurrences and documents, added up within tasks."""
 
-    def rows(held: dict) -> pa.RecordBatch:
-        found = [(lang, source, term, *v) for (lang, source), terms in held.items() for term, v in terms.items()]
-        kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], kind) for k, kind in enumerate(kinds)], ["lang", "source", "term", "n", "docs"])
+    def summed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        lang, source, text = pa.Table.from_batches(held).combine_chunks().columns
+        return chunk_counts(*(c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (lang, source, text.cast(pa.large_string()))))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], dict[str, list[int]]] = defaultdict(dict)
-        size = 0
+        held, size = [], 0
         for batch in batches:
-            for lang, source, text in zip(*(texts(batch.column(k)) for k in range(3))):
-                own = held[lang, source]
-                size -= len(own)
-                for term, n in Counter(TERM.findall(text.translate(_LOWER))).items():
-                    if (seen := own.get(term)) is None:
-                        own[term] = [n, 1]
-                    else:
-                        seen[0] += n
-                        seen[1] += 1
-                size += len(own)
-                if size >= HELD:
-                    yield rows(held)
-                    held.clear()
-                    size = 0
-        yield rows(held)
+            held.append(batch)
+            size += batch.nbytes
+            if size >= HELD:
+                yield summed(held)
+                held, size = [], 0
+        if held:
+            yield summed(held)
 
     return docs.mapInArrow(work, "lang string, source string, term string, n long, docs long")
 
