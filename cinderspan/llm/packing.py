@@ -5,28 +5,33 @@
    Spark; the histogram has ``capacity`` entries at most, whatever the corpus.
 2. On that histogram the driver solves the configuration program: cover every length's count
    by configurations (multisets of lengths that fit) with the fewest sequences. Each length has
-   a weight, its price, which is kept over the turns. In a turn a knapsack dynamic program over
-   the capacity prices the best fill of every room; as many sequences as the bound allows start
-   with the longest pieces and take the best fill of what room is left. Every weight is then
+   a weight, its price, which is kept over the turns. In a turn a knapsack dynamic program, with no
+   length oftener than it occurs, prices the best fill of every room; as many sequences as the bound
+   allows start with the longest pieces and take the best fill of what room is left. Every weight is then
    multiplied by exp(-``rate`` * (share of the length's count that the turn covered - 1)). The
-   average over the turns after the first ``settle`` is the fractional solution. Prices divided
+   average over the turns after the first ``settle`` is a fractional solution. Prices divided
    by the best configuration's worth are a dual solution, so the best of their totals bounds
-   every packing from below; a plan reports both values.
-3. Average uses are rounded down to whole sequences, those of less than a ``SMALLEST``-th of all
-   sequences to none. What is left is an instance of the same program again: weights that are
-   multiplied by exp(-``rate`` * share covered), and a priced configuration at a time, in whole
-   numbers, as often as its scarcest length lasts. The last few pieces are packed best-fit.
+   every packing from below.
+3. Rounding: configurations are taken in order of their average use, each as often as that, rounded, but
+   once at least and no oftener than pieces are left for, until half of the sequences that the
+   pieces need are made. What is left is the same program with smaller counts: the weights go on from
+   where they are for a few turns, and their new average is rounded, and so on to the last piece. So every
+   sequence but those that one full piece fills is a configuration of some average, in a corpus of a hundred
+   documents as in a large one. ``value`` is the number of sequences of a fractional cover that is put
+   together alike without rounding.
 4. Pieces are numbered within their length (per salt, with offsets from counts, so no length
    needs one task), and a piece's number and length give its configuration, copy and place. A
    (length, salt) group has about ``per_salt`` rows times the length's share of all pieces, so no
    more than ``per_salt`` or so even if all pieces are of one length.
 
-The plan has at most ``SMALLEST`` configurations from the average and one for each length from
-the rest, however large the corpus is; that is what is broadcast.
+Averages are over at most ``turns`` turns, each of one configuration for each length that sequences start
+with, and counts halve from one average to the next, so the plan grows with the logarithm of the corpus; it is what
+is broadcast.
 
 A null text is empty. Every document ends with ``end_id``, so an empty one is a piece of one
 token. Rows with a null or repeated id are pieces of their own. A text of any length is cut into
-pieces within its row. An empty table gives no rows. Only the two named columns are read, so
+pieces within its row; a run of blanks too long for the pattern's matcher is split off where the pattern
+would split it. An empty table gives no rows. Only the two named columns are read, so
 other columns cannot clash.
 """
 
@@ -34,6 +39,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -63,15 +69,33 @@ def public_byte_bpe():
     return byte_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, {"<|endoftext|>": 50256})
 
 
+#: Characters that the pattern's matcher takes as blank, in runs that are near the end of its stack.
+BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{100000,}")
+
+
+def encoded(coder, text: str) -> list[int]:
+    """Ids of ``text``. A very long run of blanks goes to the merges as the one word that the pattern makes of it.
+
+    That is all of it but its last blank, which goes with what follows, or all of it where the text or its part before a special token ends.
+    """
+    out, at = [], 0
+    for run in BLANKS.finditer(text):
+        ends = run.end() == len(text) or any(text.startswith(x, run.end()) for x in coder.special_tokens_set)
+        out += coder.encode(text[at : run.start()], allowed_special="all")
+        at = run.end() - (not ends)
+        out += coder._encode_single_piece(text[run.start() : at])
+    return out + coder.encode(text[at:], allowed_special="all") if at else coder.encode(text, allowed_special="all")
+
+
 def pieces(docs: DataFrame, encoder=public_byte_bpe, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32`` (and ``ids``)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder()
+        coder = encoder()
         for batch in batches:
             out: dict[str, list] = {x: [] for x in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
             for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-                ids = np.array([*encode.encode(text, allowed_special="all"), end_id], "<u4")
+                ids = np.array([*encoded(coder, text), end_id], "<u4")
                 first = len(ids) % capacity or capacity
                 starts = [0, *range(first, len(ids), capacity)]
                 for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
@@ -92,15 +116,12 @@ def pieces(docs: DataFrame, encoder=public_byte_bpe, capacity: int = 2048, end_i
     return wanted.mapInArrow(work, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
-#: The smallest share of all sequences, as its inverse, that a rounded configuration has.
-SMALLEST = 20_000
-
-
 @dataclass
 class Plan:
     """Configurations with the number of sequences of each; ``items`` are lengths in order.
 
-    ``value`` and ``bound`` are those of the fractional solution and of the best dual one.
+    ``value`` and ``bound`` are those of the fractional solution and of the best dual one; ``averages`` has
+    all configurations of the averages that were rounded.
     """
 
     capacity: int
@@ -108,6 +129,7 @@ class Plan:
     uses: list[int] = field(default_factory=list)
     value: float = 0.0
     bound: float = 0.0
+    averages: set[tuple[int, ...]] = field(default_factory=set)
 
     def add(self, items: tuple[int, ...], uses: int) -> None:
         if uses:
@@ -132,72 +154,90 @@ class Plan:
 
 
 class Fills:
-    """The knapsack program: the most valuable fill of every room up to the capacity, lengths repeating."""
-
-    def __init__(self, values: np.ndarray, capacity: int):
-        """``values[l]`` is that of length l, -inf where there is none."""
-        self.best = best = np.zeros(capacity + 1)
-        self.choice = [0] * (capacity + 1)
-        for room in range(1, capacity + 1):
-            gains = values[1 : room + 1] + best[room - 1 :: -1][:room]
-            k = int(gains.argmax())
-            if gains[k] > best[room - 1]:
-                best[room], self.choice[room] = gains[k], k + 1
-            else:
-                best[room] = best[room - 1]
-
-    def covered(self, starts: np.ndarray) -> np.ndarray:
-        """Pieces of each length in the fills beside ``starts`` (sequences by the length they start with)."""
-        size = len(starts)
-        flow, out = starts[::-1].tolist(), [0.0] * size  # by the room that is left
-        for room in range(size - 1, 0, -1):
-            if flow[room]:
-                length = self.choice[room]
-                out[length] += flow[room]
-                flow[room - (length or 1)] += flow[room]
-        out[0] = 0.0
-        return np.array(out)
-
-    def fill(self, room: int) -> list[int]:
-        out = []
-        while room:
-            if length := self.choice[room]:
-                out.append(length)
-                room -= length
-            else:
-                room -= 1
+    """The knapsack program: the most valuable fill of every room, with no length oftener than its count."""
+
+    def __init__(self, values: np.ndarray, counts: np.ndarray, room: int):
+        # A length's copies in powers of two: any number up to the count is a sum of some.
+        self.items = [(length, k) for length in np.flatnonzero(counts[: room + 1] > 0).tolist() for k in powers(int(min(counts[length], room // length)))]
+        self.best = best = np.zeros(room + 1)
+        self.choice = np.zeros((len(self.items), room + 1), bool)
+        for chosen, (length, k) in zip(self.choice, self.items):
+            size = length * k
+            gain = best[: room + 1 - size] + values[length] * k
+            np.greater(gain, best[size:], out=chosen[size:])
+            np.maximum(gain, best[size:], out=best[size:])
+
+    def taken(self, rooms: np.ndarray) -> np.ndarray:
+        """Which items (rows) fill each of ``rooms`` (columns)."""
+        left, out = rooms.copy(), np.zeros((len(self.items), len(rooms)), bool)
+        for k in range(len(self.items) - 1, -1, -1):
+            out[k] = self.choice[k][left]
+            left -= out[k] * (self.items[k][0] * self.items[k][1])
         return out
 
 
-def fractional(need: np.ndarray, capacity: int, turns: int = 500, settle: int = 100, rate: float = 0.01) -> tuple[dict[tuple[int, ...], float], np.ndarray, float, float]:
-    """Uses of configurations, what they cover, their number and the dual bound, on average over turns of multiplicative weights.
+def powers(n: int) -> list[int]:
+    """Powers of two and a rest that add up to n."""
+    out, k = [], 1
+    while n:
+        out.append(min(k, n))
+        n -= out[-1]
+        k *= 2
+    return out
+
+
+def averaged(need: np.ndarray, weight: np.ndarray, turns: int, settle: int, rate: float) -> tuple[dict[tuple[int, ...], float], np.ndarray, float]:
+    """Uses of configurations on average over turns of multiplicative weights, the weights, and the best dual bound.
 
-    ``need`` is a count per length. Uses of less than a quarter of a sequence are counted, not named.
+    ``need`` and ``weight`` are a count and a price per length, up to the capacity.
     """
-    lengths = np.flatnonzero(need)
-    weight = np.where(need > 0, np.arange(capacity + 1) / capacity, 0.0)
+    capacity = len(need) - 1
+    lengths, counts = np.flatnonzero(need > 0), np.ceil(need)
+    longer = np.cumsum(need[::-1])[::-1] - need
     used: dict[tuple[int, ...], float] = {}
-    covered, number, bound = np.zeros(capacity + 1), 0.0, 0.0
+    bound = 0.0
     for turn in range(turns):
-        fills = Fills(np.where(need > 0, weight, -np.inf), capacity)
-        top = (weight[lengths] + fills.best[capacity - lengths]).max()
-        bound = max(bound, float((need * weight).sum() / top))
-        before = np.cumsum(need[::-1])[::-1] - need  # pieces that are longer
-        starts = np.clip(bound - before, 0, need)
-        now = starts + fills.covered(starts)
-        weight *= np.exp(-rate * (np.where(need > 0, now / np.maximum(need, 1), 1.0) - 1))
+        if turn % 20 == 0:
+            best = Fills(weight, counts, capacity).best
+            bound = max(bound, float((need * weight).sum() / (weight[lengths] + best[capacity - lengths]).max()))
+            starts = np.clip(bound - longer, 0, need)
+            own = np.flatnonzero(starts)
+        fills = Fills(weight, counts, capacity - int(own[0]))
+        taken = fills.taken(capacity - own)
+        now = starts.copy()
+        for (length, k), n in zip(fills.items, (taken * starts[own]).sum(axis=1).tolist()):
+            now[length] += k * n
+        weight = weight * np.exp(-rate * (np.divide(now, need, out=np.ones(len(need)), where=need > 0) - 1))
         weight /= weight.max()
         if turn >= settle:
-            covered += now
-            number += starts.sum()
-            for length in np.flatnonzero(starts >= 0.25 * (turns - settle)).tolist():
-                items = tuple(sorted([length, *fills.fill(capacity - length)], reverse=True))
-                used[items] = used.get(items, 0.0) + starts[length]
-    kept = turns - settle
-    return {c: u / kept for c, u in used.items()}, covered / kept, number / kept, bound
+            column, item = np.nonzero(taken.T)
+            cuts, item = np.searchsorted(column, np.arange(len(own) + 1)), item.tolist()
+            for j, first in enumerate(own.tolist()):
+                items = [first]
+                for i in item[cuts[j] : cuts[j + 1]]:
+                    length, k = fills.items[i]
+                    items += [length] * min(k, int(counts[length]) - items.count(length))
+                key = tuple(sorted(items, reverse=True))
+                used[key] = used.get(key, 0.0) + starts[first] / (turns - settle)
+    return used, weight, bound
+
+
+def peeled(used: dict[tuple[int, ...], float], rest: np.ndarray, most: float, whole: bool) -> list[tuple[tuple[int, ...], float]]:
+    """Configurations by their use, as often as ``rest`` allows, which falls; ``whole`` rounds, once at least, up to ``most`` sequences."""
+    out, made = [], 0.0
+    for items, uses in sorted(used.items(), key=lambda x: (-x[1], -sum(x[0]), x[0])):
+        lengths, copies = np.unique(items, return_counts=True)
+        uses = min(max(1.0, round(uses)) if whole else uses, (rest[lengths] // copies if whole else rest[lengths] / copies).min())
+        if uses > 0:
+            out.append((items, uses))
+            rest[lengths] -= uses * copies
+            made += uses
+            if made >= most:
+                break
+    return out
 
 
-def solve(histogram: dict[int, int], capacity: int, rate: float = 0.5) -> Plan:
+def solve(histogram: dict[int, int], capacity: int, turns: int = 120, settle: int = 80, rate: float = 0.01, later: int = 20) -> Plan:
     """Configurations that hold every piece of ``histogram`` (length to count)."""
     plan = Plan(capacity)
     full = histogram.get(capacity, 0)
@@ -206,38 +246,30 @@ def solve(histogram: dict[int, int], capacity: int, rate: float = 0.5) -> Plan:
     for length, count in histogram.items():
         if length < capacity:
             need[length] = count
+    plan.value = plan.bound = full
     if not need.any():
-        plan.value = plan.bound = full
         return plan
-    average, covered, number, bound = fractional(need, capacity)
-    # A fractional cover: the average, and its gaps packed best-fit in thousandths of a piece.
-    left = need - covered
-    gaps = {int(x): int(np.ceil(left[x] * 1000)) for x in np.flatnonzero(left > 1e-9)}
-    plan.value = full + number + sum(n for _, n in best_fit(gaps, capacity)) / 1000
-    plan.bound = full + bound
-    whole = need.astype(np.int64)
-    least = max(1.0, number / SMALLEST)
-    for items, uses in sorted(average.items(), key=lambda x: (-x[1], x[0])):
-        if uses < least:
-            break
-        lengths, copies = np.unique(items, return_counts=True)
-        uses = min(int(uses), int((whole[lengths] // copies).min()))
-        plan.add(items, uses)
-        whole[lengths] -= uses * copies
-    rest = whole.copy()
-    weight = (np.arange(capacity + 1) / capacity) ** 1.2  # steeper than length: long pieces are the hard ones
-    while (live := rest > 0).any():
-        items = Fills(np.where(live, weight, -np.inf), capacity).fill(capacity)
-        lengths, copies = np.unique(items, return_counts=True)
-        uses = int((rest[lengths] // copies).min())
-        if not uses:
+    sizes = np.arange(capacity + 1) / capacity
+    used, weight, bound = averaged(need, np.where(need > 0, sizes, 0.0), turns, settle, rate)
+    plan.bound += bound
+    rest, left, price = need.copy(), need.copy(), weight
+    # The fractional cover: averages without rounding, and a last few pieces best-fit in thousandths.
+    part = used
+    for _ in range(3):
+        plan.value += sum(n for _, n in peeled(part, left, np.inf, False))
+        left[left < 1e-9] = 0
+        if not left.any():
             break
-        plan.add(tuple(sorted(items, reverse=True)), uses)
-        rest[lengths] -= uses * copies
-        weight[lengths] *= np.exp(-rate * uses * copies / whole[lengths])
-    for items, uses in best_fit({int(x): int(rest[x]) for x in np.flatnonzero(rest)}, capacity):
-        plan.add(items, uses)
-    return plan
+        part, price, _ = averaged(left, np.where(left > 0, np.maximum(price, 1e-12), 0.0), later, later // 2, 2 * rate)
+    gaps = {int(x): int(np.ceil(left[x] * 1000)) for x in np.flatnonzero(left)}
+    plan.value += sum(n for _, n in best_fit(gaps, capacity)) / 1000
+    while True:
+        plan.averages |= used.keys()
+        for items, uses in peeled(used, rest, max(1.0, 0.5 * (rest * sizes).sum()), True):
+            plan.add(items, int(uses))
+        if not rest.any():
+            return plan
+        used, weight, _ = averaged(rest, np.where(rest > 0, np.maximum(weight, 1e-12), 0.0), later, later // 2, 2 * rate)
 
 
 def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
