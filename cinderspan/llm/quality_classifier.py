@@ -1,8 +1,9 @@
 """Quality classifier: supervised subword embeddings, trained by numpy stochastic gradient descent.
 
 A text's features are its words, the n-grams of each word (3 to 5 UTF-8 bytes, with word ends)
-and its neighbouring word pairs, hashed into ``buckets`` rows of an embedding table. A text is
-the mean of its features' vectors; a softmax layer on top gives the two classes.
+and its neighbouring word pairs, hashed into ``buckets`` rows of an embedding table; a pair that the text
+has had before counts as one more feature, the same for all pairs, as does one that it has not, so that the mean
+shows what repeats. A text is the mean of its features' vectors; a softmax layer on top gives the two classes.
 
 Training reads at most ``per_class`` labelled rows of each label, chosen by the smallest hash of
 their ids: a bounded sample, so it runs on the driver. It keeps the sample's texts and the table, and makes
@@ -37,13 +38,21 @@ BLOCK = 20_000
 K = 0x9E3779B97F4A7C15
 
 
-def _rows(words: list[bytes], after: int | None, buckets: int) -> np.ndarray:
-    """Table rows of ``words``, of their pairs and, with the hash of the word ``after`` which they stand, of that pair."""
+#: Features of a pair that is new in its text, and of one that is not.
+FRESH, AGAIN = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" fresh pair ", b" pair again "))
+
+
+def _rows(words: list[bytes], after: int | None, buckets: int, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Table rows of ``words``, of their pairs and, with the hash of the word ``after`` which they stand, of that pair; the pairs ``seen`` so far."""
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     raw = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
     frame, codes = raw == 32, raw.astype(np.uint64)
     chain = h if after is None else np.concatenate([np.array([after], np.uint64), h])
-    parts = [h, chain[:-1] * np.uint64(K) + chain[1:]]
+    pairs = chain[:-1] * np.uint64(K) + chain[1:]
+    kinds, first = np.unique(pairs, return_index=True)
+    fresh = np.zeros(len(pairs), bool)
+    fresh[first[~np.isin(kinds, seen, assume_unique=True)]] = True
+    parts = [h, pairs, np.where(fresh, FRESH, AGAIN)]
     for n in (3, 4, 5):
         stop = len(raw) - n + 1
         if stop < 1:
@@ -56,18 +65,20 @@ def _rows(words: list[bytes], after: int | None, buckets: int) -> np.ndarray:
                 inner |= frame[k : stop + k]
         parts.append(gram[~inner])
     found = np.concatenate(parts)
-    return ((found ^ (found >> np.uint64(32))) * np.uint64(K) >> np.uint64(20) & np.uint64(buckets - 1)).astype(np.int64)
+    return ((found ^ (found >> np.uint64(32))) * np.uint64(K) >> np.uint64(20) & np.uint64(buckets - 1)).astype(np.int64), kinds
 
 
 def feature_blocks(text: str, buckets: int = BUCKETS, size: int = BLOCK) -> Iterator[np.ndarray]:
     """Table rows of all words, word pairs and byte n-grams of ``text``, repeats included, ``size`` words at a time.
 
     A word is framed by one space at each end; an n-gram may hold a frame but not cross it. So blocks of
-    words have between them just what the whole text has, in memory that only a single long word can raise.
+    words have between them just what the whole text has, in memory that only a single long word and the different pairs can raise.
     """
-    words = text.encode().split()
+    words, seen = text.encode().split(), np.empty(0, np.uint64)
     for at in range(0, len(words), size):
-        yield _rows(words[at : at + size], xxhash.xxh3_64_intdigest(words[at - 1]) if at else None, buckets)
+        rows, pairs = _rows(words[at : at + size], xxhash.xxh3_64_intdigest(words[at - 1]) if at else None, buckets, seen)
+        seen = np.union1d(seen, pairs)
+        yield rows
 
 
 def feature_shares(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
