@@ -323,11 +323,55 @@ def test_packing_program():
             held.update({k: items.count(k) * uses for k in set(items)})
         assert held == histogram
         # The dual bound is below every packing, and the fractional cover near it.
-        assert plan.bound <= sum(plan.uses) + 1e-6 and plan.bound - 1e-6 <= plan.value <= 1.05 * plan.bound + 1
+        assert plan.bound <= sum(plan.uses) + 1e-6 and plan.bound - 1e-6 <= plan.value <= 1.01 * plan.bound
         assert sum(plan.uses) <= np.ceil(plan.bound - 1e-6) + 1
+        # Every sequence but the full pieces is a configuration of an average of the weights' turns.
+        assert {c for c in plan.configs if c != (most,)} <= plan.averages
     assert packing.solve({}, 64).uses == [] and packing.solve({64: 3}, 64).uses == [3]
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_sequences_come_from_the_program(spark, sf):
+    made = packing.pieces(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet"))
+    histogram = {r["length"]: r["count"] for r in made.groupBy("length").count().collect()}
+    plan = packing.solve(histogram, 2048)
+    priced = sum(u for c, u in zip(plan.configs, plan.uses) if c in plan.averages)
+    assert priced == sum(plan.uses) - histogram.get(2048, 0) > 0
+    assert plan.value <= 1.01 * plan.bound and sum(plan.uses) <= np.ceil(plan.bound - 1e-6) + 1
+
+
+def test_bounded_knapsack_is_best():
+    rng = np.random.default_rng(9)
+    for _ in range(40):
+        room = int(rng.integers(5, 40))
+        counts = rng.integers(0, 4, room + 1) * (rng.random(room + 1) < 0.3)
+        counts[0] = 0
+        values = rng.random(room + 1)
+        best = np.zeros(room + 1)
+        for length in range(1, room + 1):
+            for _ in range(int(counts[length])):
+                best[length:] = np.maximum(best[length:], best[: room + 1 - length] + values[length])
+        fills = packing.Fills(values, counts, room)
+        assert fills.best == pytest.approx(best)
+        taken = fills.taken(np.arange(room + 1))
+        for r in range(room + 1):
+            held = Counter()
+            for k, (length, n) in enumerate(fills.items):
+                held[length] += n * int(taken[k, r])
+            assert sum(x * n for x, n in held.items()) <= r and all(n <= counts[x] for x, n in held.items())
+            assert sum(values[x] * n for x, n in held.items()) == pytest.approx(best[r])
+
+
+def test_long_runs_of_blanks_have_the_ids_of_the_tokenizers_file():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    slow, fast = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.public_byte_bpe()
+    wide = "\u3000" * 110_000
+    for text in ("x" + " " * 2_000_000 + "y", " " * 300_000, "a" + "\n" * 200_000 + " b" + " " * 150_000 + "<|endoftext|>" + wide + "\tz", "\t" * 100_000 + "'s"):
+        assert packing.encoded(fast, text) == slow.encode(text, add_special_tokens=False).ids
+
+
 def test_byte_bpe_gives_the_ids_of_the_tokenizers_file():
     from tokenizers import Tokenizer
     import public_tokenizers
@@ -339,6 +383,33 @@ def test_byte_bpe_gives_the_ids_of_the_tokenizers_file():
         assert slow.encode(text, add_special_tokens=False).ids == fast.encode(text, allowed_special="all")
 
 
+def test_classifier_sees_what_repeats(spark):
+    """Held-out rows of label 0 that only repeat lines are caught, rows of label 1 stay."""
+    found = queries.op9_quality_classifier(spark, "/root/testdata/sf0.1").where("held_out")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    right = {r.quality: r.share for r in found.join(labels, "doc_id").groupBy("quality").agg(F.avg((F.col("predicted") == F.col("quality")).cast("double")).alias("share")).collect()}
+    assert right[0] >= 0.9 and right[1] >= 0.98
+
+
+def test_pairs_that_repeat_count_as_such():
+    words = "a b a b c a b".split()
+    rows = Counter(r for x in quality_classifier.feature_blocks(" ".join(words), 1 << 18) for r in x.tolist())
+    fresh, again = (int(((k ^ (k >> np.uint64(32))) * np.uint64(quality_classifier.K) >> np.uint64(20)) & np.uint64((1 << 18) - 1)) for k in (quality_classifier.FRESH, quality_classifier.AGAIN))
+    assert (rows[fresh], rows[again]) == (4, 2)  # ab ba | ab | bc ca | ab
+
+
+def test_classifier_score_is_that_of_the_mean_vector(spark):
+    """A recount of scores from the table of vectors itself, feature by feature."""
+    real = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality_classifier.train(real, spark.read.parquet(f"{SF}/labels.parquet"))
+    texts = {r.doc_id: r.text or "" for r in real.collect()}
+    for r in quality_classifier.quality_classifier(real.select("doc_id", "text"), model).collect()[:60]:
+        rows = [x for block in quality_classifier.feature_blocks(texts[r.doc_id], len(model.table)) for x in block]
+        vector = model.table[rows].astype(float).mean(axis=0) if rows else np.zeros(model.table.shape[1])
+        logits = vector @ model.out + model.bias
+        assert r.score == pytest.approx(np.exp(logits[1]) / np.exp(logits).sum(), abs=1e-5)
+
+
 def test_classifier(spark, docs):
     sf = "/root/testdata/sf0.01"
     real, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
