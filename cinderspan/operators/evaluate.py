@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cinderspan.operators.records import refuse
+
 
 def calibration_bins(scores: DataFrame, key: list[str], bins: int = 10) -> DataFrame:
     """Fixed-width bins (the top one closed), empty ones included: n, mean probability, rate, gap."""
@@ -128,8 +130,8 @@ def holdout_masks(df: DataFrame, time: str, share: float, target: str = "y") ->
     part = numbered.withColumn("part", F.when(F.col("k") <= F.floor(F.col("n") * share), "train").otherwise("evaluation"))
     sides = part.groupBy("part").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     good = sides.agg((F.count_if((F.col("pos") > 0) & (F.col("neg") > 0)) == 2).alias("_good"))
-    told = part.crossJoin(F.broadcast(good)).select(time, F.when(F.col("_good"), F.col("part")).otherwise(F.raise_error(F.lit("a side is empty or of one class"))).alias("part"))
-    return df.join(told, time)
+    told = refuse(part.crossJoin(F.broadcast(good)), ~F.col("_good"), F.lit("a side is empty or of one class"))
+    return df.join(told.select(time, "part"), time)
 
 
 def pooled_summary(reports: DataFrame, key: list[str]) -> DataFrame:

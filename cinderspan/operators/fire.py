@@ -29,6 +29,17 @@ def _gate(acquired: Column, anchor: Column, lookback_h: int, lag_h: int) -> Colu
     return (acquired >= anchor - F.expr(f"interval {lookback_h} hours")) & (acquired <= anchor - F.expr(f"interval {lag_h} hours"))
 
 
+def stretch(anchor: str, lookback_h: int) -> Column:
+    """Number of the stretch of time, as long as the lookback, that a cutoff falls in."""
+    return F.expr(f"cast(floor(unix_micros({anchor}) / {lookback_h * 3_600_000_000}) as bigint)")
+
+
+def stretches(acquired: str, lookback_h: int, lag_h: int) -> Column:
+    """Numbers of the stretches whose cutoffs may see a detection: two at most."""
+    first, last = (stretch(f"({acquired} + interval {h} hours)", lookback_h) for h in (lag_h, lookback_h))
+    return F.sequence(first, last)
+
+
 def expand_candidates(detections: DataFrame, radius: int = 2, hours: int = 12, lookback_h: int = 24, lag_h: int = 3) -> DataFrame:
     """Cells within ``radius`` of an eligible detection, per snapshot: ``snapshot, x, y, anchor_at``.
 
@@ -70,7 +81,8 @@ def unscored_positives(candidates: DataFrame, positives: DataFrame) -> DataFrame
 def fire_state(cells: DataFrame, detections: DataFrame, lookback_h: int = 24, lag_h: int = 3) -> DataFrame:
     """Centre and 3 x 3 evidence for every row of ``cells``; nulls, not zeros, where there is none.
 
-    The example side is exploded to its nine cells and met with detections on the cell; one
+    The example side is exploded to its nine cells, a detection to the one or two stretches of time, as long as the
+    lookback, in which cutoffs may see it; they meet on cell and stretch, so a cell's years don't meet each other. One
     aggregation per example follows. Detections are distinct by id; rows of one id that differ stop the job.
     """
     keys = ["x", "y", "anchor_at"]
@@ -78,8 +90,8 @@ def fire_state(cells: DataFrame, detections: DataFrame, lookback_h: int = 24, la
     examples = cells.select(*keys).distinct()
     near = examples.select(*keys, F.explode(around).alias("o")).select(*keys, (F.col("x") + F.col("o.dx")).alias("nx"), (F.col("y") + F.col("o.dy")).alias("ny"))
     d = detections.select(F.col("x").alias("nx"), F.col("y").alias("ny"), "detection_id", "acquired_at", "bright_ti4", "product")
-    d = once_by_id(d, "detection_id")
-    seen = near.join(d, ["nx", "ny"]).where(_gate(F.col("acquired_at"), F.col("anchor_at"), lookback_h, lag_h))
+    d = once_by_id(d, "detection_id").withColumn("stretch", F.explode(stretches("acquired_at", lookback_h, lag_h)))
+    seen = near.withColumn("stretch", stretch("anchor_at", lookback_h)).join(d, ["nx", "ny", "stretch"]).where(_gate(F.col("acquired_at"), F.col("anchor_at"), lookback_h, lag_h))
     centre = (F.col("nx") == F.col("x")) & (F.col("ny") == F.col("y"))
     age = (F.unix_micros("anchor_at") - F.unix_micros(F.max("acquired_at"))) / 3.6e9
     stats = seen.groupBy(*keys).agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cinderspan.functions import grid
 from cinderspan.operators.evaluate import intensity
+from cinderspan.operators.fire import stretch, stretches
 
 
 def neighbours(cells: DataFrame, radius: int, keep_centre: bool = True) -> DataFrame:
@@ -96,9 +97,11 @@ def seed_lineage(cells: DataFrame, detections: DataFrame, radius: int = 2, retai
     Ids are distinct and sorted: the first ``retained``, their number, whether that cut any, and
     the digest of all. Rows without one have none.
     """
-    near = neighbours(detections.select("x", "y", "acquired_at", "detection_id"), radius)
+    # Cell and stretch of time make the key, so a cell's years don't meet each other.
+    seen = detections.select("x", "y", "acquired_at", "detection_id").withColumn("stretch", F.explode(stretches("acquired_at", lookback_h, lag_h)))
+    near = neighbours(seen, radius)
     gate = F.expr(f"acquired_at between anchor_at - interval {lookback_h} hours and anchor_at - interval {lag_h} hours")
-    met = cells.select("snapshot", "x", "y", "anchor_at").join(near, ["x", "y"]).where(gate)
+    met = cells.select("snapshot", "x", "y", "anchor_at", stretch("anchor_at", lookback_h).alias("stretch")).join(near, ["x", "y", "stretch"]).where(gate)
     ids = met.groupBy("snapshot", "x", "y").agg(F.sort_array(F.collect_set("detection_id")).alias("ids"))
     return ids.select(
         "snapshot", "x", "y", F.size("ids").alias("n_seeds"), F.slice("ids", 1, retained).alias("seeds"), (F.size("ids") > retained).alias("truncated"), F.sha2(F.array_join("ids", "\x1f"), 256).alias("seeds_sha256")

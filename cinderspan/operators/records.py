@@ -1,12 +1,13 @@
 """Normalized records and their checks: detections, perimeters, ids, contracts.
 
-A check never drops a row. ``violations`` lists what breaks a rule, ``require`` stops the job at the
-first such row, and both are plain projections, so they cost one pass.
+A check never drops a row. ``violations`` lists what breaks a rule; ``require`` stops the job at the first such
+row. A refusal is a filter that passes every good row and fails on a bad one: no choice of columns removes it, so
+``count()`` and a select of any column fail as well.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Regions whose perimeters are aligned in time.
@@ -28,10 +29,13 @@ def in_dates(df: DataFrame, column: str, first: str | None = None, last: str | N
 def in_window_of(detections: DataFrame, labels: DataFrame, column: str = "acq_date", lookback_h: int = 24, lag_h: int = 3) -> DataFrame:
     """Detections of the dates that a batch of labels (``anchor_at``) can see: first cutoff less lookback to last less lag.
 
-    The bounds are one row that is broadcast, so that folders are pruned at run time.
+    The two bounds are read from the labels first (one row), so they are literals in the plan and the scan lists only
+    their folders. A batch without labels sees nothing.
     """
-    ends = labels.agg(F.to_date(F.min("anchor_at") - F.expr(f"interval {lookback_h} hours")).alias("_a"), F.to_date(F.max("anchor_at") - F.expr(f"interval {lag_h} hours")).alias("_b"))
-    return detections.join(F.broadcast(ends), F.col(column).between(F.col("_a"), F.col("_b"))).drop("_a", "_b")
+    ends = labels.agg(F.to_date(F.min("anchor_at") - F.expr(f"interval {lookback_h} hours")).alias("a"), F.to_date(F.max("anchor_at") - F.expr(f"interval {lag_h} hours")).alias("b")).first()
+    if ends["a"] is None:
+        return detections.where(F.lit(False))
+    return in_dates(detections, column, str(ends["a"]), str(ends["b"]))
 
 
 def hhmm(date: str, time: str) -> Column:
@@ -153,21 +157,34 @@ def violations(df: DataFrame, rules: dict[str, Column], key: list[str]) -> DataF
     return df.select(*key, F.explode(broken).alias("rule"))
 
 
+def refuse(df: DataFrame, bad: Column, message: Column) -> DataFrame:
+    """``df``; the job that reads it fails with ``message`` at a row for which ``bad`` holds or is null.
+
+    Spark may test a bare ``is not null`` filter that stands before this one after it; a condition that depends on such a filter says so itself.
+    """
+    return df.where(F.when(~F.coalesce(bad, F.lit(True)), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+
 def require(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """``df``, unless a row breaks a rule: then the job that reads it fails and names the rule."""
-    bad = F.lit(None).cast("string")
+    broken = F.lit(None).cast("string")
     for name, ok in reversed(list(rules.items())):
-        bad = F.when(~F.coalesce(ok, F.lit(False)), F.lit(f"row breaks the rule {name}")).otherwise(bad)
-    first = df.columns[0]
-    return df.withColumn(first, F.when(bad.isNull(), F.col(f"`{first}`")).otherwise(F.raise_error(bad)))
+        broken = F.when(~F.coalesce(ok, F.lit(False)), F.lit(f"row breaks the rule {name}")).otherwise(broken)
+    return refuse(df, broken.isNotNull(), broken)
+
+
+def require_once(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """``df``, unless rows repeat their keys."""
+    counted = df.withColumn("_n", F.count("*").over(Window.partitionBy(*keys)))
+    return require(counted, {what: F.col("_n") == 1}).drop("_n")
 
 
 def once_by_id(df: DataFrame, key: str) -> DataFrame:
     """One row for each id. Equal repeats count once; rows of one id that differ stop the job."""
     rest = [c for c in df.columns if c != key]
     ends = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("a"), F.max(F.struct(*rest)).alias("b"))
-    same = F.when(F.col("a").eqNullSafe(F.col("b")), F.col("a")).otherwise(F.raise_error(F.concat(F.lit("rows of one id differ: "), F.col(key).cast("string"))))
-    return ends.select(key, same.alias("r")).select(key, *(F.col(f"r.{c}").alias(c) for c in rest)).select(*df.columns)
+    same = refuse(ends, ~F.col("a").eqNullSafe(F.col("b")), F.concat(F.lit("rows of one id differ: "), F.col(key).cast("string")))
+    return same.select(key, *(F.col(f"a.{c}").alias(c) for c in rest)).select(*df.columns)
 
 
 def split_faults(df: DataFrame, time: str, split: str = "dataset_split") -> DataFrame:

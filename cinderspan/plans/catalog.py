@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderspan.functions import grid
-from cinderspan.operators import evaluate, fire, ledger
+from cinderspan.operators import evaluate, fire, ledger, spatial
 from cinderspan.operators.components import connected_components
 from cinderspan.session import cut, table
 from cinderspan.sources import adapters
@@ -298,19 +298,10 @@ def terrain_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("")
 def incident_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fires whose footprints (boxes of their cells) lie within 20 km, as connected groups.
-
-    Boxes are met on 20 km buckets; a pair is a link where the boxes' distance is small enough.
-    """
-    reach = 20
+    """Fires whose footprints (boxes of their cells) lie within 20 km, as connected groups."""
     d = adapters.located(spark, sf_dir).groupBy("fire_id").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
     boxes = cut(d, "incident-boxes")
-    bucket = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / reach).cast("int"), F.floor((F.col(hi) + reach) / reach).cast("int")))
-    dealt = boxes.select("*", bucket("x0", "x1").alias("bx")).select("*", bucket("y0", "y1").alias("by"))
-    other = dealt.select(*(F.col(c).alias(f"o_{c}") for c in ("fire_id", "x0", "x1", "y0", "y1")), "bx", "by")
-    dx = F.greatest(F.lit(0), F.col("x0") - F.col("o_x1"), F.col("o_x0") - F.col("x1"))
-    dy = F.greatest(F.lit(0), F.col("y0") - F.col("o_y1"), F.col("o_y0") - F.col("y1"))
-    links = dealt.join(other, ["bx", "by"]).where((F.col("fire_id") < F.col("o_fire_id")) & (F.hypot(dx, dy) <= reach)).select("fire_id", "o_fire_id").distinct()
+    links = spatial.near_boxes(boxes, "fire_id", 20.0).withColumnRenamed("other", "o_fire_id")
     loops = boxes.select("fire_id", F.col("fire_id").alias("o_fire_id"))
     return connected_components(links.unionByName(loops), "fire_id", "o_fire_id").select(F.col("node").alias("fire_id"), F.col("component").alias("group_id"))
 
@@ -324,7 +315,7 @@ def redacted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from cinderspan.plans import measures, readers, records, transitions  # noqa: F401  (they add their queries)
+    from cinderspan.plans import associations, measures, readers, records, transitions  # noqa: F401  (they add their queries)
 
     return dict(_QUERIES)
 

@@ -124,15 +124,9 @@ NEAR = """select event_id, (user_id*37 % 2000)*1e3 + 5e2 + ((event_id*131) % 160
 )
 def perimeter_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate points with the perimeters within 5 km; zero inside."""
-    from cinderspan.operators.labels import edges
-
     corner = lambda sx, sy: f"struct(cx {sx} hs as x, cy {sy} hs as y)"
     squares = made(spark, sf_dir, LAST, "events").select("fire_id", F.expr(f"array({corner('-', '-')}, {corner('+', '-')}, {corner('+', '+')}, {corner('-', '+')})").alias("ring"))
-    # Level sides have no height for areas, but they are as near as any other.
-    ring = squares.select("fire_id", F.explode(F.expr("transform(ring, (p, i) -> struct(p as a, ring[(i + 1) % size(ring)] as b))")).alias("s"))
-    level = ring.where("s.a.y = s.b.y").select("fire_id", *(F.expr(f"s.{p}.{c}").alias(f"{c}{k}") for k, p in enumerate("ab") for c in "xy"))
-    found = spatial.perimeter_distances(made(spark, sf_dir, NEAR, "events"), ["event_id"], edges(squares, ["fire_id"]).unionByName(level), ["fire_id"], 5000.0)
-    return rounded(found, "distance", digits=4)
+    return rounded(spatial.perimeter_distances(made(spark, sf_dir, NEAR, "events"), ["event_id"], squares, ["fire_id"], 5000.0), "distance", digits=4)
 
 
 D_GROUPS = f"""(with recursive boxes as (select fire_id, min(x) as x0, max(x) as x1, min(y) as y0, max(y) as y1 from {adapters.located_oracle()} l group by 1),

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinderspan.operators.records import refuse
+
 ATTRIBUTES = "primarykey string, region string, fireid long, t long, n_newpixels int"
 # Bytes of the decimal size units.
 UNITS = {"b": 1, "kb": 10**3, "mb": 10**6, "gb": 10**9}
@@ -21,8 +23,18 @@ def _pages(spark: SparkSession, path: str, schema: str, lines: bool) -> DataFram
     return pages.select("*", F.col("_metadata.file_path").alias("raw_file"))
 
 
-def _refused(bad: Column, what: str, value: Column) -> Column:
-    return F.when(F.coalesce(bad, F.lit(True)), F.raise_error(F.concat(F.lit(f"{what}: "), "raw_file"))).otherwise(value)
+def _refuse(rows: DataFrame, bad: Column, what: str) -> DataFrame:
+    return refuse(rows, bad, F.concat(F.lit(f"{what}: "), "raw_file"))
+
+
+def _items(pages: DataFrame, items: str, bad: Column, what: str) -> DataFrame:
+    """``raw_file`` and each item as ``f``; an item for which ``bad`` holds stops the job.
+
+    The outer form keeps pages without a list in the plan until their own refusal; else the scan would pass over them. Its row for
+    an empty page goes after the items are judged, as Spark may test for nulls last.
+    """
+    held = pages.select("raw_file", F.posexplode_outer(items).alias("_at", "f"))
+    return _refuse(held, F.col("_at").isNotNull() & bad, what).where("_at is not null").drop("_at")
 
 
 def read_perimeter_pages(spark: SparkSession, path: str, attributes: str = ATTRIBUTES, lines: bool = True) -> DataFrame:
@@ -31,10 +43,9 @@ def read_perimeter_pages(spark: SparkSession, path: str, attributes: str = ATTRI
     A page with an error or without a list of features is refused, and so is a feature without rings.
     """
     schema = f"error struct<code: int, message: string>, features array<struct<attributes: struct<{_typed(attributes)}>, geometry: struct<rings: array<array<array<double>>>>>>"
-    pages = _pages(spark, path, schema, lines)
-    held = pages.select("raw_file", F.explode(_refused(F.col("error").isNotNull() | F.col("features").isNull(), "no feature page", F.col("features"))).alias("f"))
-    rings = _refused(F.col("f.attributes").isNull() | (F.size("f.geometry.rings") < 1), "no polygon", F.col("f.geometry.rings"))
-    return held.select("f.attributes.*", rings.alias("rings"), "raw_file")
+    pages = _refuse(_pages(spark, path, schema, lines), F.col("error").isNotNull() | F.col("features").isNull(), "no feature page")
+    held = _items(pages, "features", F.col("f.attributes").isNull() | F.coalesce(F.size("f.geometry.rings") < 1, F.lit(True)), "no polygon")
+    return held.select("f.attributes.*", F.col("f.geometry.rings").alias("rings"), "raw_file")
 
 
 def _typed(columns: str) -> str:
@@ -45,9 +56,8 @@ def read_geojson(spark: SparkSession, path: str, lines: bool = True) -> DataFram
     """One row per feature: ``properties`` as text by name, ``geometry`` (type, and coordinates as JSON text), ``raw_file``."""
     pages = _pages(spark, path, "type string, features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: string>>>", lines)
     bad = (F.col("type") != "FeatureCollection") | F.col("features").isNull()
-    held = pages.select("raw_file", F.explode(_refused(bad, "no feature collection", F.col("features"))).alias("f"))
-    properties = _refused(F.col("f.properties").isNull() | F.col("f.geometry").isNull(), "no properties or geometry", F.col("f.properties"))
-    return held.select(properties.alias("properties"), "f.geometry", "raw_file")
+    held = _items(_refuse(pages, bad, "no feature collection"), "features", F.col("f.properties").isNull() | F.col("f.geometry").isNull(), "no properties or geometry")
+    return held.select("f.properties", "f.geometry", "raw_file")
 
 
 def reference_perimeters(features: DataFrame) -> DataFrame:
@@ -61,8 +71,8 @@ def incident_history(features: DataFrame) -> DataFrame:
     """Incident intervals of GeoJSON features: the national id, else the record's own; a feature with neither is refused."""
     own = F.nullif(F.col("properties.id"), F.lit(""))
     known = F.coalesce(F.nullif(F.col("properties.national_fire_id"), F.lit("")), own)
-    return features.select(
-        _refused(known.isNull(), "no incident id", known).alias("incident_id"),
+    return _refuse(features, known.isNull(), "no incident id").select(
+        known.alias("incident_id"),
         own.alias("source_record_id"),
         *(F.expr(f"try_to_timestamp(properties.{c})").alias(c) for c in ("record_start", "record_end")),
         "geometry",
@@ -98,19 +108,28 @@ def read_granules(spark: SparkSession, path: str, product: str, version: str, li
         f" RelatedUrls: array<struct<URL: string, Type: string>>, DataGranule: struct<ArchiveAndDistributionInformation: {info}>>"
     )
     pages = _pages(spark, path, f"items array<struct<umm: {umm}>>", lines)
-    item = pages.select("raw_file", F.explode(_refused(F.col("items").isNull(), "no inventory", F.col("items"))).alias("i")).select("raw_file", "i.umm.*")
+    item = _items(_refuse(pages, F.col("items").isNull(), "no inventory"), "items", F.col("f.umm.GranuleUR").isNull(), "other product").select("raw_file", "f.umm.*")
     span, file = F.col("TemporalExtent.RangeDateTime"), F.get(F.col("DataGranule.ArchiveAndDistributionInformation"), F.lit(0))
     factor = F.create_map(*(F.lit(x) for kv in UNITS.items() for x in kv))[F.lower(file["SizeUnit"])]
     address = F.get(F.filter("RelatedUrls", lambda u: (u["Type"] == "GET DATA") & u["URL"].rlike(r"^https://.*\.nc$")), F.lit(0))["URL"]
     value, algorithm = file["Checksum"]["Value"], file["Checksum"]["Algorithm"]
     of_product = (F.col("CollectionReference.ShortName") == product) & (F.col("CollectionReference.Version") == version)
+    faults = {
+        "other product": ~of_product,
+        "empty interval": span["EndingDateTime"] <= span["BeginningDateTime"],
+        "no download address": address.isNull(),
+        "unknown size unit": file["Size"].isNotNull() & factor.isNull(),
+        "half a checksum": value.isNull() != algorithm.isNull(),
+    }
+    for what, bad in faults.items():
+        item = _refuse(item, bad, what)
     return item.select(
-        _refused(F.col("GranuleUR").isNull() | ~of_product, "other product", F.col("GranuleUR")).alias("granule_id"),
-        _refused(span["EndingDateTime"] <= span["BeginningDateTime"], "empty interval", span["BeginningDateTime"]).alias("begins_at"),
+        F.col("GranuleUR").alias("granule_id"),
+        span["BeginningDateTime"].alias("begins_at"),
         span["EndingDateTime"].alias("ends_at"),
-        _refused(address.isNull(), "no download address", address).alias("download_url"),
-        _refused(file["Size"].isNotNull() & factor.isNull(), "unknown size unit", F.round(file["Size"] * factor).cast("bigint")).alias("bytes"),
-        _refused(value.isNull() != algorithm.isNull(), "half a checksum", value).alias("checksum"),
+        address.alias("download_url"),
+        F.round(file["Size"] * factor).cast("bigint").alias("bytes"),
+        value.alias("checksum"),
         algorithm.alias("checksum_algorithm"),
         "raw_file",
     )
