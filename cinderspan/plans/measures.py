@@ -93,15 +93,21 @@ def front_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REACH = 20_000.0
 
 
-@query("")
+_D_ECEF = "(select *, {c} as id, nu * cos(f) * cos(l) as px, nu * cos(f) * sin(l) as py, nu * (1 - e2) * sin(f) as pz from (select *, 6378137e0 / sqrt(1 - e2 * power(sin(f), 2)) as nu from (select distinct longitude, latitude, radians(latitude) as f, radians(longitude) as l, 1 - power(1 - 1 / 298.257222101e0, 2) as e2 from {t} t0)))"
+
+
+@query(
+    f"""with recursive d as {adapters.oracle('detections')}, p as (select *, row_number() over (order by longitude, latitude) as i from {_D_ECEF.format(c='0', t='d')} e),
+    nb as (select a.i as i, list(b.i) as near from p a join p b on b.i > a.i and abs(a.px - b.px) <= {_REACH} and abs(a.py - b.py) <= {_REACH} and sqrt((a.px - b.px) ** 2 + (a.py - b.py) ** 2 + (a.pz - b.pz) ** 2) <= {_REACH} group by 1),
+    r as (select cast(null as bigint) as taken, (select list(i order by i) from p) as rest
+      union all select rest[1], list_filter(rest[2:], lambda x: not list_contains(coalesce(near, []), x)) from r left join nb on nb.i = rest[1] where len(rest) > 0)
+    select longitude, latitude from r join p on p.i = r.taken"""
+)
 def weather_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The greedy cover of all detection places within 20 km."""
     return spatial.covering_sources(adapters.derived(spark, sf_dir, "detections").select("longitude", "latitude"), _REACH)
 
 
-_D_ECEF = "(select *, {c} as id, nu * cos(f) * cos(l) as px, nu * cos(f) * sin(l) as py, nu * (1 - e2) * sin(f) as pz from (select *, 6378137e0 / sqrt(1 - e2 * power(sin(f), 2)) as nu from (select distinct longitude, latitude, radians(latitude) as f, radians(longitude) as l, 1 - power(1 - 1 / 298.257222101e0, 2) as e2 from {t} t0)))"
-
-
 @query(
     f"""with d as {adapters.oracle('detections')}, a as {_D_ECEF.format(c='row(longitude, latitude)', t='d')}, b as {_D_ECEF.format(c='row(longitude, latitude)', t="(select * from d where fire_id % 5 = 0 and event_type = 'purchase')")},
     m as (select a.longitude, a.latitude, b.longitude as blon, b.latitude as blat, sqrt((a.px - b.px) ** 2 + (a.py - b.py) ** 2 + (a.pz - b.pz) ** 2) as d from a join b on a.latitude between b.latitude - 2e-1 and b.latitude + 2e-1 and abs(a.px - b.px) <= {_REACH} and abs(a.py - b.py) <= {_REACH}),

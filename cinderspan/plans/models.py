@@ -49,5 +49,5 @@ def training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def spread_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of a chronological hold-out of boosted trees over the evidence of all selected candidates."""
     features = ["center_count", "center_max", "local_count", "local_max", "local_mean", "local_platforms", "local_active_cells", "local_hours_since"]
-    _, scored = spread_model.train_chronological(training_frame(spark, sf_dir), features, "target", "anchor_at", "snapshot", rounds=20)
+    _, scored = spread_model.train_chronological(training_frame(spark, sf_dir), features, "target", "anchor_at", "snapshot", rounds=10)
     return spread_model.holdout_metrics(scored, "target")
