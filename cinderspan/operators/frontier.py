@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderspan.functions import grid
 from cinderspan.operators.evaluate import intensity
 from cinderspan.operators.fire import stretch, stretches
+from cinderspan.operators.records import require
 
 
 def neighbours(cells: DataFrame, radius: int, keep_centre: bool = True) -> DataFrame:
@@ -20,13 +21,15 @@ def neighbours(cells: DataFrame, radius: int, keep_centre: bool = True) -> DataF
     return moved.select(*rest, (F.col("x") + F.col("_dx")).alias("x"), (F.col("y") + F.col("_dy")).alias("y"))
 
 
-def frontier_candidates(active: DataFrame, burned: DataFrame, key: str = "scenario", radius: int = 1) -> DataFrame:
-    """Cells around active ones that are neither active nor burned, with the strongest neighbour.
+def frontier_candidates(active: DataFrame, burned: DataFrame, key: str = "scenario", radius: int = 1, allowed: Column | None = None) -> DataFrame:
+    """Cells around active ones that are neither active nor burned, with the strongest neighbour; with ``allowed``, only cells (``x, y``) for which it holds.
 
     ``active`` has ``key, x, y, intensity``. Neighbours are combined before the shuffle.
     """
     cell = [key, "x", "y"]
     near = neighbours(active.select(*cell, "intensity"), radius, keep_centre=False)
+    if allowed is not None:
+        near = near.where(allowed)
     near = near.groupBy(*cell).agg(F.max("intensity").alias("neighbour_intensity"), F.count("*").alias("active_neighbours"))
     taken = active.select(*cell).unionByName(burned.select(*cell))
     return near.join(taken, cell, "left_anti")
@@ -55,6 +58,18 @@ def seeds_from_points(points: DataFrame, key: str = "scenario") -> DataFrame:
     return points.groupBy(key, "x", "y").agg(F.max("intensity").alias("intensity"))
 
 
+def scored_candidates(features: DataFrame, estimator, column: str = "probability") -> DataFrame:
+    """``features`` with the ``probability`` of anything that scores frames: a column, or an object with ``score`` (such as a spread model) or ``transform``.
+
+    What isn't a number from 0 to 1 stops the job.
+    """
+    if isinstance(estimator, Column):
+        out = features.withColumn(column, estimator)
+    else:
+        out = estimator.score(features) if hasattr(estimator, "score") else estimator.transform(features)
+    return require(out, {f"{column} is valid": F.col(column).between(0.0, 1.0) & ~F.isnan(column)})
+
+
 def capped_ignitions(scored: DataFrame, active: DataFrame, key: str = "scenario", threshold: float = 0.05, growth: float = 0.5, most: int = 128) -> DataFrame:
     """Candidates at or above ``threshold``: per scenario min(most, ceil(growth * active)), likeliest first.
 
