@@ -15,7 +15,8 @@ Equal texts have equal fingerprints; an empty text has a fingerprint of its own.
 by the start of the next text in ascending id. Texts are range-partitioned and sorted by id
 once; a task holds two texts at a time, and the first text of each range travels to the range
 before it. Null ids come first, ties are ordered by a digest of the text and by the text, and the last
-text is followed by the first. An id of so many rows that it fills several ranges is dealt over them
+text is followed by the first. There are at most ``MOST_RANGES`` ranges, so what the driver and a broadcast hold of them is
+bounded; in a larger corpus ranges are longer and are sorted on disk and read as a stream. An id of so many rows that it fills several ranges is dealt over them
 by the digest; only rows that repeat both id and text stay in one range.
 
 Null texts are empty. A text of any length is fingerprinted whole, in memory in proportion to it.
@@ -38,6 +39,8 @@ BASES = (1_103_515_245, 1_664_525_001)
 WIDTH, SLOTS = 16, 64
 SIFT = 24  # expected windows per slot that pass the first sieve
 EMPTY = "-"
+#: Ranges of ids, each with one row on the driver.
+MOST_RANGES = 1 << 14
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -171,7 +174,7 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
     lowest = -(1 << 63)
     ids = docs.select(F.coalesce("doc_id", F.lit(lowest)).alias("doc_id"))
     total = ids.count()
-    parts = max(1, total // per_range, spark.sparkContext.defaultParallelism if total > 1000 else 1)
+    parts = max(1, min(MOST_RANGES, total // per_range), spark.sparkContext.defaultParallelism if total > 1000 else 1)
     bounds = sorted(int(x) for x in ids.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)) if parts > 1 else []
     # An id that is a bound several times has that many ranges, dealt by the digest.
     known = spark.sparkContext.broadcast(np.array(bounds, np.int64))
