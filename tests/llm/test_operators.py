@@ -204,6 +204,70 @@ def test_license_scan(spark):
     assert found == {(1, "apache-2.0-notice"): 2, (2, "apache-2.0-notice"): 1}
 
 
+def common_words(a, b):
+    """Length of a longest common subsequence."""
+    row = np.zeros(len(b) + 1, int)
+    b = np.array(b, object)
+    for w in a:
+        step = np.concatenate([[0], np.maximum(row[1:], np.where(b == w, row[:-1] + 1, 0))])
+        row = np.maximum.accumulate(step)
+    return int(row[-1])
+
+
+def test_whole_licenses_are_found_in_damaged_copies():
+    whole = license_scan.whole_texts()
+    assert len(whole) >= 14 and min(len(license_scan.words_of(t)) for t in whole.values()) > 80
+    every = {k: license_scan.Template(v, 0.8) for k, v in whole.items()}
+    rng = np.random.default_rng(1)
+    filler = [f"filler{i}" for i in range(4000)]
+    for name, text in whole.items():
+        words, prepared = license_scan.words_of(text), {name: every[name]}
+        exact = [f for f in license_scan.findings(" ".join(filler[:30] + words + filler[30:50]), prepared) if f[0] == name]
+        assert exact == [(name, 1.0, 30, 30 + len(words))]
+        # A word in twenty is lost, one in thirty is followed by another word.
+        damaged = [x for w in words for x in ([w] if rng.random() > 0.05 else []) + (["other"] if rng.random() < 1 / 30 else [])]
+        found = [f for f in license_scan.findings(" ".join(filler[:700] + damaged + filler[700:]), prepared) if f[0] == name]
+        assert len(found) == 1 and 0.85 <= found[0][1] < 1 and abs(found[0][2] - 700) < 60 and abs(found[0][3] - 700 - len(damaged)) < 60
+        # What is aligned is a common subsequence, so never more than the longest one, and here near it.
+        if len(words) < 1700:
+            assert found[0][1] * len(words) <= common_words(damaged, words) <= 1.03 * found[0][1] * len(words)
+        half = words[: len(words) // 2]
+        assert not [f for f in license_scan.findings(" ".join(filler[:20] + half), prepared) if f[0] == name]
+    shuffled = " ".join(rng.permutation(license_scan.words_of(whole["MIT"])))
+    assert license_scan.findings(shuffled, every) == []
+    assert {f[0] for f in license_scan.findings(whole["GFDL-1.3"], every)} == {"GFDL-1.2", "GFDL-1.3"}
+
+
+def test_license_findings_match_brute_force(spark):
+    """Every stretch of small texts against every template: a finding where, and only where, the longest common subsequence covers enough."""
+    rng = np.random.default_rng(7)
+    templates = {"a": "one two three four five six seven eight nine ten", "b": "red green blue red white black"}
+    rows = []
+    for k in range(150):
+        words = [f"w{i}" for i in rng.integers(0, 9, rng.integers(0, 12))]
+        for _ in range(rng.integers(0, 3)):
+            own = templates[rng.choice(["a", "b"])].split()
+            kept = [w for w in own if rng.random() > rng.choice([0.0, 0.1, 0.4])]
+            words += kept + [f"w{i}" for i in rng.integers(0, 9, rng.integers(1, 6))]
+        rows.append((k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("license", F.lit("clash"))
+    got = Counter((r.doc_id, r.license) for r in license_scan.license_scan(df, templates).collect())
+    for k, text in rows:
+        words = text.split()
+        for name, template in templates.items():
+            own = template.split()
+            best, at, n = 0, 0, 0
+            while at < len(words):  # non-overlapping stretches from the left, each as short as it can be
+                ends = [b for b in range(at + 1, len(words) + 1) if common_words(words[at:b], own) >= 0.8 * len(own)]
+                if not ends:
+                    break
+                n, at = n + 1, ends[0]
+            assert (got[k, name] > 0) == (n > 0) and got[k, name] <= n, (text, name)
+    odd = spark.createDataFrame([(1, None), (None, ""), (2, "one two"), (3, " ".join(["w"] * 300_000) + " " + templates["a"]), (3, templates["a"]), (3, templates["a"])], "doc_id long, text string")
+    assert Counter((r.doc_id, r.license, r.coverage) for r in license_scan.license_scan(odd, templates).collect()) == {(3, "a", 1.0): 3}
+    assert license_scan.license_scan(odd.limit(0), templates).count() == 0
+
+
 def plain_scores(rows, good):
     """Both losses of every row by a plain recount of real words and pairs."""
     plain = [(i, (t or "").encode().lower().split()) for i, t in rows]
@@ -506,8 +570,8 @@ def test_substring_dedup_finds_passages_of_51_words(spark):
 
 
 def test_license_scan_with_long_insertions():
-    prepared = {k: license_scan.words_of(v) for k, v in license_scan.TEMPLATES.items()}
-    scan = lambda t: [f for f in license_scan.findings(t, prepared, 0.8) if f[0] == "apache-2.0-notice"]
+    prepared = {k: license_scan.Template(v, 0.8) for k, v in license_scan.TEMPLATES.items()}
+    scan = lambda t: [f for f in license_scan.findings(t, prepared) if f[0] == "apache-2.0-notice"]
     broken = "Licensed under the terms and conditions of the Apache License, Version 2.0"
     assert len(scan(broken)) == 1
     filler = " ".join(f"filler{i}" for i in range(300))
