@@ -69,6 +69,11 @@ def centre_lat(x: str, y: str) -> str:
     return f"degrees({beta} + {num(c1)} * sin(2 * {beta}) + {num(c2)} * sin(4 * {beta}) + {num(c3)} * sin(6 * {beta}))"
 
 
+def cell_bounds(x: str, y: str) -> tuple[str, str, str, str]:
+    """Sides of a cell in projected metres: least x and y, then largest."""
+    return tuple(f"(({v} + {k}) * {num(CELL_M)})" for k in (0, 1) for v in (x, y))
+
+
 def cell_id(x: str, y: str) -> str:
     return f"concat('naea-1km:x=', {x}, ':y=', {y})"
 

@@ -44,10 +44,11 @@ def expand_candidates(detections: DataFrame, radius: int = 2, hours: int = 12, l
     """Cells within ``radius`` of an eligible detection, per snapshot: ``snapshot, x, y, anchor_at``.
 
     Each detection names the few snapshots that may see it, so no snapshot table is joined;
-    eligibility is tested at the candidate's own cutoff. Repeated detections of a cell and hour
-    collapse before the neighbourhood is exploded.
+    eligibility is tested at the candidate's own cutoff. Of the detections that every cell around
+    may see for sure one stands for all, so the neighbourhood is made once for each cell and
+    snapshot, and again only for those within an hour of an end of the gate.
     """
-    seeds = detections.select("x", "y", "acquired_at").distinct()
+    seeds = detections.select("x", "y", "acquired_at")
     # Cutoffs lie between 0 and 14 h after their snapshot on this continent.
     first = F.expr(f"date_trunc('day', acquired_at + interval {lag_h} hours - interval 24 hours)")
     times = F.sequence(first, F.expr(f"acquired_at + interval {lookback_h} hours"), F.expr(f"interval {hours} hours"))
@@ -55,6 +56,8 @@ def expand_candidates(detections: DataFrame, radius: int = 2, hours: int = 12, l
     seen = seeds.select("x", "y", "acquired_at", F.explode(times).alias("snapshot"))
     # Cutoffs within the radius differ from the seed's own by minutes, so most snapshots are ruled out before the neighbourhood is made.
     seen = seen.where(_gate(F.col("acquired_at"), cutoff(), lookback_h + 1, lag_h - 1))
+    edge = F.when(~_gate(F.col("acquired_at"), cutoff(), lookback_h - 1, lag_h + 1), F.col("acquired_at"))
+    seen = seen.groupBy("x", "y", "snapshot", edge.alias("edge")).agg(F.max("acquired_at").alias("acquired_at"))
     grown = seen.select("snapshot", "acquired_at", "x", "y", F.explode(offsets).alias("o"))
     cells = grown.select("snapshot", "acquired_at", (F.col("x") + F.col("o.dx")).alias("x"), (F.col("y") + F.col("o.dy")).alias("y")).withColumn("anchor_at", cutoff())
     return cells.where(_gate(F.col("acquired_at"), F.col("anchor_at"), lookback_h, lag_h)).select("snapshot", "x", "y", "anchor_at").distinct()
@@ -134,6 +137,26 @@ def snapshot_states(detections: DataFrame, youngest_h: int = 3, oldest_h: int =
     )
 
 
+def in_box(points: DataFrame, west: float, south: float, east: float, north: float) -> DataFrame:
+    """Points within a box of degrees; all four sides belong."""
+    return points.where(F.col("longitude").between(west, east) & F.col("latitude").between(south, north))
+
+
+def snapshot_reports(detections: DataFrame, bounds: tuple[float, float, float, float] | None = None, youngest_h: int = 3, oldest_h: int = 24) -> DataFrame:
+    """Per 12-hour snapshot, in a box: detections of an age that counts, younger ones that don't count yet, and active cells.
+
+    Detections of one product, place and time are one. A snapshot without any detection of its window has no row.
+    """
+    held = detections if bounds is None else in_box(detections, *bounds)
+    own = held.select("product", "latitude", "longitude", "acquired_at", "x", "y").distinct()
+    times = F.expr(f"sequence(date_trunc('day', acquired_at), acquired_at + interval {oldest_h} hours, interval 12 hours)")
+    met = own.select("*", F.explode(times).alias("snapshot")).where(F.col("acquired_at") <= F.col("snapshot"))
+    old = _gate(F.col("acquired_at"), F.col("snapshot"), oldest_h, youngest_h)
+    # Cells are counted first, so a snapshot's distinct cells are a plain count.
+    cells = met.groupBy("snapshot", "x", "y").agg(F.count_if(old).alias("n"), F.count_if(~old).alias("young"))
+    return cells.groupBy("snapshot").agg(F.sum("n").alias("eligible_detection_count"), F.sum("young").alias("recent_detections_excluded"), F.count_if(F.col("n") > 0).alias("active_cell_count"))
+
+
 def tile_buckets(detections: DataFrame, metres: float = 50_000.0, runs_h: int = 6, lag_h: int = 3, reach_h: int = 24, cap: int = 32) -> DataFrame:
     """Forecast tile plan: per model run the best-scored tiles; capped ones are kept with a reason.
 

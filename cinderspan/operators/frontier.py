@@ -145,6 +145,26 @@ def frontier_features(frontier: DataFrame, active: DataFrame, key: str = "scenar
     return met.fillna(0, ["local_count", "local_platforms", "local_active_cells"]).withColumn("local_has", (F.col("local_active_cells") > 0).cast("int"))
 
 
+#: Fixed names of the terrain columns that a model reads.
+TERRAIN_FLAGS = ("terrain_valid", "terrain_aspect_defined")
+TERRAIN_VALUES = ("terrain_elevation_m", "terrain_slope_degrees", "terrain_aspect_sin", "terrain_aspect_cos")
+
+
+def with_terrain(rows: DataFrame, terrain: DataFrame) -> DataFrame:
+    """``rows`` with the terrain of their cell (``x, y``): flags as 0 or 1, values null where terrain is missing or not valid.
+
+    ``terrain`` has a row for each cell. A valid cell with a value that is null or not finite stops the job.
+    """
+    valid = F.coalesce(F.col("terrain_valid").cast("boolean"), F.lit(False))
+    finite = F.lit(True)
+    for c in TERRAIN_VALUES:
+        finite = finite & F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False))
+    known = require(terrain.select("x", "y", *TERRAIN_FLAGS, *(F.col(c).cast("double").alias(c) for c in TERRAIN_VALUES)), {"finite terrain": ~valid | finite})
+    known = known.withColumns({c: F.when(valid, F.col(c)) for c in TERRAIN_VALUES})
+    flags = {"terrain_aspect_defined": (valid & F.coalesce(F.col("terrain_aspect_defined").cast("boolean"), F.lit(False))).cast("double"), "terrain_valid": valid.cast("double")}
+    return rows.join(known.withColumns(flags), ["x", "y"], "left").fillna(0.0, list(TERRAIN_FLAGS))
+
+
 def pair_report(candidates: DataFrame, domain: DataFrame, key: str = "scenario", target: str = "target") -> DataFrame:
     """Per pair of steps: candidates in the next domain, domain rows not reached, candidates outside, and the positives of each."""
     met = candidates.select(key, "x", "y").distinct().withColumn("_c", F.lit(1)).join(domain.select(key, "x", "y", F.col(target).alias("_y")), [key, "x", "y"], "full")

@@ -54,11 +54,39 @@ def select_revision(entries: DataFrame, files: DataFrame, key: str) -> DataFrame
     return met.where("_chosen is null or artifact_id = _chosen").drop("_chosen")
 
 
-def select_capture(queries: DataFrame, first: str, last: str) -> DataFrame:
-    """The capture whose query windows (``start_at, end_at``) meet the dates most often; ties go to the newest."""
-    meets = (F.col("start_at") < F.lit(last).cast("timestamp") + F.expr("interval 1 day")) & (F.col("end_at") > F.lit(first).cast("timestamp"))
-    found = queries.where(meets).groupBy("captured_at").agg(F.count_distinct("start_at", "end_at").alias("n_windows"))
-    return found.agg(F.max(F.struct("n_windows", "captured_at")).alias("r")).where("r is not null").select("r.captured_at", "r.n_windows")
+def select_capture(queries: DataFrame, first: str | None = None, last: str | None = None, captured_at: str | None = None) -> DataFrame:
+    """The capture whose query windows (``start_at, end_at``) meet the dates most often; ties go to the newest.
+
+    A missing date leaves its side open. A named ``captured_at`` is taken as it is; where there is none of that time, the
+    error lists the newest hundred. A window that doesn't end after it starts stops the job.
+    """
+    checked = require(queries, {"window ends after its start": F.col("end_at") > F.col("start_at")})
+    meets = F.lit(True)
+    if last is not None:
+        meets = meets & (F.col("start_at") < F.lit(last).cast("timestamp") + F.expr("interval 1 day"))
+    if first is not None:
+        meets = meets & (F.col("end_at") > F.lit(first).cast("timestamp"))
+    found = checked.groupBy("captured_at").agg(F.count_distinct(F.when(meets, F.struct("start_at", "end_at"))).alias("n_windows"))
+    if captured_at is None:
+        return found.agg(F.max(F.struct("n_windows", "captured_at")).alias("r")).where("r is not null").select("r.captured_at", "r.n_windows")
+    named = found.where(F.col("captured_at") == F.lit(captured_at).cast("timestamp"))
+    if named.isEmpty():
+        known = found.select(F.date_format("captured_at", "yyyy-MM-dd HH:mm:ss").alias("t")).orderBy(F.desc("t")).limit(100).collect()
+        raise ValueError(f"no capture at {captured_at}; there are: {', '.join(r['t'] for r in reversed(known))}")
+    return named
+
+
+def capture_artifacts(manifests: DataFrame, capture: DataFrame) -> DataFrame:
+    """Artifacts of a capture, each content once: of manifests (``captured_at, content_sha256, manifest_path``) with one content the first by path."""
+    own = manifests.join(F.broadcast(capture.select("captured_at")), "captured_at", "left_semi")  # one row
+    return least_by(own, ["content_sha256"], "manifest_path")
+
+
+def least_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The row of each key with the least ``order``: one map-side combined aggregate."""
+    rest = [c for c in df.columns if c not in keys]
+    least = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_r"))
+    return least.select(*keys, *(F.col(f"_r.{c}").alias(c) for c in rest))
 
 
 def merge_faults(builds: DataFrame) -> DataFrame:
@@ -126,3 +154,43 @@ def parent_faults(synthetic: DataFrame, observed: DataFrame, parent: str, key: s
 def checked_mix(df: DataFrame, weight: str, key: str) -> DataFrame:
     """A mixed view of observed and synthetic rows, unless a weight isn't in (0, 1] or an id is missing."""
     return require(df, {"weight": (F.col(weight) > 0) & (F.col(weight) <= 1), "id": F.col(key).isNotNull()})
+
+
+def mix_faults(observed: DataFrame, synthetic: DataFrame, examples: DataFrame, weight: float, most: float) -> DataFrame:
+    """What keeps observed references and synthetic rows from being one training view: ``fault, n`` for each fault found.
+
+    References (``example_id, incident_group_id, sample_weight``) are distinct, weigh 1 and name training examples of their group
+    whose centre has no detection. Synthetic rows weigh ``weight`` and are at most ``most`` of the references' number, rounded down.
+    """
+    known = examples.select("example_id", F.col("incident_group_id").alias("_group"), F.col("incident_split").alias("_split"), F.col("firms_center_has_detection").alias("_centre"), F.lit(True).alias("_known"))
+    refs = observed.groupBy("example_id").agg(F.count("*").alias("_n"), F.min("incident_group_id").alias("_own"), F.count_if(~F.col("sample_weight").eqNullSafe(F.lit(1.0))).alias("_off"))
+    met = refs.join(known, "example_id", "left")
+    there = F.col("_known").isNotNull()
+    counted = met.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("observed"),
+        F.count_if(F.col("_n") > 1).alias("repeated"),
+        F.coalesce(F.sum("_off"), F.lit(0)).alias("observed-weight"),
+        F.count_if(~there).alias("unknown"),
+        F.count_if(there & ~F.col("_split").eqNullSafe(F.lit("train"))).alias("split"),
+        F.count_if(there & ~F.col("_centre").eqNullSafe(F.lit(0))).alias("centre"),
+        F.count_if(there & ~F.col("_own").eqNullSafe(F.col("_group"))).alias("group"),
+    )
+    made = synthetic.agg(F.count("*").alias("synthetic"), F.count_if(~F.col("sample_weight").eqNullSafe(F.lit(weight))).alias("synthetic-weight"))
+    one = counted.crossJoin(made).withColumn("too-many", F.greatest(F.lit(0), F.col("synthetic") - F.floor(F.col("observed") * most)))  # one row each
+    names = ("repeated", "observed-weight", "unknown", "split", "centre", "group", "synthetic-weight", "too-many")
+    pairs = F.explode(F.array(*(F.struct(F.lit(k).alias("fault"), F.col(f"`{k}`").cast("bigint").alias("n")) for k in names))).alias("p")
+    return one.select(pairs).select("p.*").where("n > 0")
+
+
+def mixed_view(observed: DataFrame, synthetic: DataFrame, examples: DataFrame, weight: float, most: float) -> DataFrame:
+    """The examples that references name and the synthetic rows, with what either lacks as null; faults (see ``mix_faults``) are an error."""
+    faults = mix_faults(observed, synthetic, examples, weight, most).collect()  # eight rows at most
+    if faults:
+        raise ValueError("mixed view refused: " + ", ".join(f"{r['fault']} {r['n']}" for r in faults))
+    own = examples.join(observed.select("example_id", "sample_weight"), "example_id")
+    return checked_mix(own.unionByName(synthetic, allowMissingColumns=True), "sample_weight", "example_id")
+
+
+def write_ordered(df: DataFrame, path: str, *order: str, files: int | None = None) -> None:
+    """Parquet files whose names and rows follow ``order``, each written by a task of its own range; ``files`` of them, or as many as Spark finds fit."""
+    df.repartitionByRange(*([] if files is None else [files]), *order).sortWithinPartitions(*order).write.parquet(path)

@@ -315,7 +315,7 @@ def redacted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from cinderspan.plans import associations, measures, models, readers, records, rows, transitions  # noqa: F401  (they add their queries)
+    from cinderspan.plans import admitted, associations, measures, models, readers, records, rows, transitions  # noqa: F401  (they add their queries)
 
     return dict(_QUERIES)
 
