@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -537,6 +538,38 @@ def test_piece_tokens_of_odd_texts():
         assert vocab.encode(text) == ids and vocab.decode(ids) == model.decode(ids)
 
 
+def test_marks_beside_a_word_make_no_new_segment(monkeypatch):
+    met = set()
+    plain = piece_tokens.PieceVocabulary.ids
+    monkeypatch.setattr(piece_tokens.PieceVocabulary, "ids", lambda self, text: met.add(text) or plain(self, text))
+    words = [f"{a}{b}tion" for a in "bcdfghjklm" for b in "aeiouáéíóú"]
+    text = " ".join(f"{w}{mark}" for w in words for mark in (",", ".", "!", "!!", ";", "$$$", ".\n", "", "\n"))
+    piece_tokens.vocabulary(piece_tokens.piece_model()).encode(text)
+    assert len(met) <= len(words) + 20
+
+
+def test_piece_tokens_of_random_and_of_very_long_texts(spark):
+    import sentencepiece
+
+    path = piece_tokens.piece_model()
+    model, vocab = sentencepiece.SentencePieceProcessor(model_file=path), piece_tokens.vocabulary(path)
+    rng = np.random.default_rng(8)
+    symbols = np.array([*" ▁\n\r\t.,!?$'\"()[]{}0123456789aábcdeéstnAB", "日", "😀", "\u0301", "\x00", " the", "tion", "...", "  "], dtype=object)
+    rows = [(i, "".join(rng.choice(symbols, rng.integers(0, 60)))) for i in range(3000)]
+    rows += [(4000, None), (4001, "word, 日本! " * (piece_tokens.AT_ONCE // 12)), (4002, ""), (4003, " "), (4004, "x" * 50_000 + " end"), (4005, None)]
+    found = {r.doc_id: r for r in piece_tokens.piece_tokens(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), with_ids=True).collect()}
+    assert len(found) == len(rows)
+    for i, text in rows:
+        ids = model.encode(text or "", add_eos=True)
+        decoded = model.decode(ids)
+        assert found[i].ids == ids and found[i].decoded == decoded and found[i].n_tokens == len(ids)
+        assert found[i].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() and found[i].decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+        assert len(ids) > 100_000 or vocab.encode(text or "") == ids
+    slices = list(piece_tokens.parts(pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4, 5], "text": pa.array(["aaaa", None, "bbbbbbbbb", "", "c"])}), 4))
+    assert [x for s in slices for x in s.column(0).to_pylist()] == [1, 2, 3, 4, 5] and len(slices) > 1
+    assert list(piece_tokens.parts(pa.RecordBatch.from_pydict({"doc_id": [], "text": pa.array([], pa.string())}), 4))[0].num_rows == 0
+
+
 def test_lm_scores_count_every_word_and_pair(spark, monkeypatch):
     monkeypatch.setattr(lm_scores, "CHUNK", 20_000, raising=False)
     rng = np.random.default_rng(3)
