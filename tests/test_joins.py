@@ -19,6 +19,12 @@ def exploded_broadcasts(df):
     return found
 
 
-@pytest.mark.parametrize("name", ["candidates_near_perimeters"])
+@pytest.mark.parametrize("name", ["candidates_near_perimeters", "newly_covered_cells"])
 def test_no_query_broadcasts_what_it_explodes(spark, name):
     assert exploded_broadcasts(catalog.queries()[name](spark, SF)) == []
+
+
+def test_pairs_of_snapshots_are_not_broadcast(spark):
+    """Records are wider than their file, so its size says nothing of a broadcast's."""
+    plan = catalog.queries()["perimeter_pairs"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
