@@ -106,17 +106,25 @@ def state_mix(observed: DataFrame, predicted: DataFrame, fraction: float, key: s
     return picked.where("s IS NOT NULL").select(*cell, "predicted", "s.intensity")
 
 
+#: Side, in cells, of the blocks on which cells meet detections.
+SEED_BLOCK = 4
+
+
 def seed_lineage(cells: DataFrame, detections: DataFrame, radius: int = 2, retained: int = 128, lookback_h: int = 24, lag_h: int = 3) -> DataFrame:
     """Eligible detections within ``radius`` of every row of ``cells`` (``snapshot, x, y, anchor_at``).
 
     Ids are distinct and sorted: the first ``retained``, their number, whether that cut any, and
     the digest of all. Rows without one have none.
     """
-    # Cell and stretch of time make the key, so a cell's years don't meet each other.
-    seen = detections.select("x", "y", "acquired_at", "detection_id").withColumn("stretch", F.explode(stretches("acquired_at", lookback_h, lag_h)))
-    near = neighbours(seen, radius)
-    gate = F.expr(f"acquired_at between anchor_at - interval {lookback_h} hours and anchor_at - interval {lag_h} hours")
-    met = cells.select("snapshot", "x", "y", "anchor_at", stretch("anchor_at", lookback_h).alias("stretch")).join(near, ["x", "y", "stretch"]).where(gate)
+    # Block of cells and stretch of time make the key, so a cell's years don't meet each other and a detection
+    # is dealt to the few blocks within its radius, not to every cell. Dealt ones are many more than their file suggests: no broadcast.
+    block = lambda v: f"cast(floor(({v}) / {SEED_BLOCK}) as int)"
+    dealt = detections.select(F.col("x").alias("ox"), F.col("y").alias("oy"), "acquired_at", "detection_id").withColumn("stretch", F.explode(stretches("acquired_at", lookback_h, lag_h)))
+    for a in "xy":
+        dealt = dealt.withColumn(f"b{a}", F.explode(F.expr(f"sequence({block(f'o{a} - {radius}')}, {block(f'o{a} + {radius}')})")))
+    own = cells.select("snapshot", "x", "y", "anchor_at", stretch("anchor_at", lookback_h).alias("stretch"), *(F.expr(block(a)).alias(f"b{a}") for a in "xy"))
+    gate = f"acquired_at between anchor_at - interval {lookback_h} hours and anchor_at - interval {lag_h} hours"
+    met = own.join(dealt.hint("merge"), ["bx", "by", "stretch"]).where(f"abs(x - ox) <= {radius} and abs(y - oy) <= {radius} and {gate}")
     ids = met.groupBy("snapshot", "x", "y").agg(F.sort_array(F.collect_set("detection_id")).alias("ids"))
     return ids.select(
         "snapshot", "x", "y", F.size("ids").alias("n_seeds"), F.slice("ids", 1, retained).alias("seeds"), (F.size("ids") > retained).alias("truncated"), F.sha2(F.array_join("ids", "\x1f"), 256).alias("seeds_sha256")
