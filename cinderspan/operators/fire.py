@@ -67,7 +67,7 @@ def select_candidates(candidates: DataFrame, positives: DataFrame, cap: int = 20
     """Supported positives, and per snapshot the ``cap`` proxies with the lowest hash of snapshot and cell."""
     keys = ["snapshot", "x", "y"]
     known = positives.select(*keys).distinct().withColumn("target", F.lit(1))
-    flagged = candidates.join(known, keys, "left").fillna(0, ["target"])
+    flagged = candidates.join(known.hint("merge"), keys, "left").fillna(0, ["target"])
     hashed = flagged.withColumn("rank", F.sha2(F.concat_ws("|", F.date_format("snapshot", "yyyy-MM-dd HH:mm:ss"), F.expr(grid.cell_id("x", "y"))), 256))
     # A snapshot's proxies are ranked in salts first, so only the best of each salt meet in one task; positives stay in theirs.
     place = "row_number() over (partition by snapshot, target, lane order by rank, x, y)"

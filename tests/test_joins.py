@@ -19,7 +19,7 @@ def exploded_broadcasts(df):
     return found
 
 
-@pytest.mark.parametrize("name", ["candidates_near_perimeters", "newly_covered_cells", "label_merge", "label_windows", "seed_lineage"])
+@pytest.mark.parametrize("name", ["candidates_near_perimeters", "newly_covered_cells", "label_merge", "label_windows", "seed_lineage", "seed_lineage_selected"])
 def test_no_query_broadcasts_what_it_explodes(spark, name):
     assert exploded_broadcasts(catalog.queries()[name](spark, SF)) == []
 
