@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from cinderspan.functions import grid
 from cinderspan.operators import assembly, frontier, payloads
 
 AT = datetime(2024, 1, 2, 3, 4, 5)
@@ -125,3 +126,16 @@ def test_builds_merge_only_when_contiguous(spark, tmp_path):
     ):
         with pytest.raises(Exception, match=message):
             merged(*bad)[0].count()
+
+
+def test_scores_that_end_in_a_half_round_as_in_sql(spark):
+    """Sums of many detections often end in an exact half at the sixth place."""
+    import duckdb
+
+    score = lambda rounding: grid.evidence_score("b", "n", "(s / 3600e0)", rounding=rounding)
+    rows = "(select 3e2 + v * 67e-2 as b, cast(n as double) as n, k * 27 as s from range(0, 3201) q(k), (values (1e2), (4e-1), (12e-1)) w(v), (values (10), (42)) m(n)) t"
+    want = duckdb.sql(f"select b, n, s, {score('round_even')} from {rows}").fetchall()
+    held = spark.createDataFrame([r[:3] for r in want], "b double, n double, s long")
+    for rounding, all_same in (("", True), ("bround", False)):
+        found = {(r.b, r.n, r.s): r.score for r in held.selectExpr("*", f"{score(rounding)} as score").collect()}
+        assert all(found[r[:3]] == r[3] for r in want) == all_same
