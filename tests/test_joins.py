@@ -28,3 +28,10 @@ def test_pairs_of_snapshots_are_not_broadcast(spark):
     """Records are wider than their file, so its size says nothing of a broadcast's."""
     plan = catalog.queries()["perimeter_pairs"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_pairs_of_points_and_perimeters_are_not_shuffled(spark):
+    """They may be many times the points: below what writes them stands the join, and no exchange before it."""
+    plan = catalog.queries()["perimeter_distances"](spark, SF)._jdf.queryExecution().executedPlan().toString().splitlines()
+    first = {name: next(k for k, line in enumerate(plan) if name in line) for name in ("SortMergeJoin", "Exchange")}
+    assert first["SortMergeJoin"] < first["Exchange"] and not any("Aggregate" in line for line in plan)
